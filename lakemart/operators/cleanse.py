@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart import config
-from lakemart.functions.columns import dbl, first_at_least, season
+from lakemart.functions.columns import season
 
 REJECT_RULES = [
     "cancelled_orders", "invalid_quantities", "invalid_prices",
@@ -173,14 +173,3 @@ def fact_validation(fact: DataFrame, big_quantity: int = 1000, big_price: float
         F.count_if(F.col("Quantity") > big_quantity).alias("extreme_quantity"),
         F.count_if(F.col("UnitPrice") > big_price).alias("extreme_price"),
     )
-
-
-def revenue_double(df: DataFrame, *names: str) -> DataFrame:
-    """Decimal columns as double, for reports."""
-    return df.select(*[dbl(c).alias(c) if c in names else F.col(c) for c in df.columns])
-
-
-__all__ = [
-    "REJECT_RULES", "typed_lines", "row_reject_reason", "clean_lines", "rejected_lines", "reject_funnel",
-    "with_order_quantity", "with_date_parts", "with_customer_value", "fact_validation", "first_at_least",
-]

@@ -93,3 +93,27 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("n_nationkey") == 0).alias("IsPrimaryMarket"),
         )
     )
+
+
+def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goods received: open line items on their ship date, as (StockCode, Country, day, pieces, UnitPrice)."""
+    lines = read_table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
+    )
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("StockCode"),
+            F.col("n_name").alias("Country"),
+            F.to_date("l_shipdate").alias("day"),
+            F.col("l_quantity").cast("int").alias("pieces"),
+            F.col("p_retailprice").cast("decimal(10,2)").alias("UnitPrice"),
+        )
+    )
