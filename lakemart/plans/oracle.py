@@ -947,3 +947,36 @@ SQL["outliers_iqr"] = _with(
         f"THEN '{c}' END" for c in ("Quantity", "UnitPrice")
     ) + ") AS outlier_columns FROM typed) WHERE outlier_columns <> ''", "typed"
 )
+
+# --- models: the parts with an exact answer ---------------------------------------------------
+SQL["ml_segment_stats"] = _with(
+    """SELECT Segment, Avg_Recency, Avg_Frequency, Avg_Monetary, Avg_OrderSize, Avg_RevenuePerOrder, Avg_Lifespan, Customer_Count,
+  CASE WHEN Segment = -1 THEN 'Noise/Outliers'
+    WHEN Avg_Recency < 100 AND Avg_Frequency > 41 AND Avg_Monetary > 860000 THEN 'Champions'
+    WHEN Avg_Recency < 110 AND Avg_Frequency > 38 AND Avg_Monetary > 500000 THEN 'Loyal Customers'
+    WHEN Avg_Recency < 100 AND Avg_Frequency < 41 AND Avg_Monetary > 500000 THEN 'Potential Loyalists'
+    WHEN Avg_Recency > 100 AND Avg_Frequency > 5 AND Avg_Monetary > 500000 THEN 'At Risk'
+    ELSE 'Segment ' || CAST(Segment AS VARCHAR) END AS Description
+FROM (SELECT CAST(CustomerKey % 6 - 1 AS INTEGER) AS Segment, round(avg(Recency), 2) AS Avg_Recency,
+    round(avg(Frequency), 2) AS Avg_Frequency, round(avg(Monetary), 2) AS Avg_Monetary, round(avg(AvgOrderSize), 2) AS Avg_OrderSize,
+    round(avg(RevenuePerOrder), 2) AS Avg_RevenuePerOrder, round(avg(CustomerLifespan), 2) AS Avg_Lifespan,
+    count(*) AS Customer_Count FROM s GROUP BY 1)""", "f", extra={"s": SEGMENTATION}
+)
+SQL["ml_confusion_metrics"] = _with(
+    """SELECT label, prec AS precision, rec AS recall,
+  CASE WHEN prec + rec > 0 THEN 2.0::DOUBLE * prec * rec / (prec + rec) ELSE 0 END AS f1, support, accuracy
+FROM (SELECT label, coalesce(CAST(hits AS DOUBLE) / nullif(guessed, 0), 0) AS prec, CAST(hits AS DOUBLE) / support AS rec,
+    support, accuracy
+  FROM (SELECT label, count(*) AS support, count(*) FILTER (WHERE label = guess) AS hits FROM x GROUP BY label) a
+  LEFT JOIN (SELECT guess, count(*) AS guessed FROM x GROUP BY guess) b ON label = guess,
+  (SELECT CAST(count(*) FILTER (WHERE label = guess) AS DOUBLE) / count(*) AS accuracy FROM x))""", "ck",
+    extra={"x": "SELECT CASE WHEN rec > 90 THEN 1 ELSE 0 END AS label, CASE WHEN CAST(TotalOrders AS DOUBLE) / (rec + 1) > 0.4 "
+                "THEN 0 ELSE 1 END AS guess FROM ck"}
+)
+SQL["fc_series"] = _with(
+    """SELECT spine.series, spine.Date, coalesce(CAST(v AS DOUBLE), 0) AS value
+FROM (SELECT series, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS Date FROM x GROUP BY series) spine
+LEFT JOIN (SELECT series, day, sum(TotalRevenue) AS v FROM x GROUP BY series, day) t ON spine.series = t.series AND spine.Date = t.day""",
+    "lines", extra={"x": "SELECT Country AS series, CAST(InvoiceDate AS DATE) AS day, TotalRevenue FROM lines UNION ALL "
+                         "SELECT 'ALL', CAST(InvoiceDate AS DATE), TotalRevenue FROM lines"}
+)

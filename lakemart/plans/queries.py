@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from lakemart import config
 from lakemart.functions.columns import clean_text, in_range
 from lakemart.functions.ranks import dense_key
+from lakemart.ml import churn, forecast, iforest, kmeans, runner
 from lakemart.operators import aggregates, analytics, cleanse, dims, fact, features, kpi, lineage, profile, quality
 from lakemart.plans.warehouse import RUN_ID, open_warehouse
 from lakemart.session import work_dir
@@ -631,3 +633,130 @@ def outliers_iqr(spark, sf_dir):
     found = profile.detect_outliers(open_warehouse(spark, sf_dir).typed, ["Quantity", "UnitPrice"])
     return plain(found.select("InvoiceNo", "StockCode", "Quantity", "UnitPrice",
                               F.concat_ws(",", "outlier_columns").alias("outlier_columns")))
+
+
+# --- models ---------------------------------------------------------------------------------------------------
+SEGMENT_NAMES = [
+    ("Champions", 100, None, 41, None, 860000), ("Loyal Customers", 110, None, 38, None, 500000),
+    ("Potential Loyalists", 100, None, None, 41, 500000), ("At Risk", None, 100, 5, None, 500000),
+]
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A model input or result written next to the warehouse and read back."""
+    return sinks.write_table(build(), f"{open_warehouse(spark, sf_dir).root}/ml/{name}")
+
+
+def _segment_features(spark, sf_dir):
+    return _written(spark, sf_dir, "segmentation", lambda: feat_segmentation(spark, sf_dir))
+
+
+@query
+def ml_segment_stats(spark, sf_dir):
+    segmented = feat_segmentation(spark, sf_dir).withColumn("Segment", (F.col("CustomerKey") % 6 - 1).cast("int"))
+    return kmeans.segment_stats(segmented, names=SEGMENT_NAMES)
+
+
+@query
+def ml_kmeans(spark, sf_dir):
+    table = _segment_features(spark, sf_dir)
+    return kmeans.predict(kmeans.train(table), table)
+
+
+@query
+def model_roundtrip(spark, sf_dir):
+    """A saved and loaded model against the one in memory: customers and differing segments."""
+    table = _segment_features(spark, sf_dir)
+    model = kmeans.train(table, restarts=2)
+    path = f"{open_warehouse(spark, sf_dir).root}/ml/kmeans_model"
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    both = kmeans.predict(model, table).select("CustomerKey", "Segment").join(
+        kmeans.predict(again, table).select("CustomerKey", F.col("Segment").alias("Loaded")), "CustomerKey"
+    )
+    return both.agg(F.count(F.lit(1)).alias("customers"), F.count_if(F.col("Segment") != F.col("Loaded")).alias("differing"))
+
+
+@query
+def ml_churn(spark, sf_dir):
+    table = _written(spark, sf_dir, "churn", lambda: feat_churn(spark, sf_dir))
+    return churn.predict(churn.train(table, cross_validate=False).model, table)
+
+
+@query
+def ml_churn_confusion(spark, sf_dir):
+    table = _written(spark, sf_dir, "churn_confusion", lambda: feat_churn(spark, sf_dir))
+    return churn.classification_report(churn.train(table).confusion)
+
+
+@query
+def ml_confusion_metrics(spark, sf_dir):
+    """The report for a plain rule: more than 0.4 orders per day since the last purchase means active."""
+    guess = F.when(F.col("OrderFrequency") > 0.4, 0).otherwise(1)
+    scored = feat_churn(spark, sf_dir).withColumn("guess", guess)
+    return churn.classification_report(churn.confusion_counts(scored, "IsChurned", "guess"))
+
+
+@query
+def fc_arima(spark, sf_dir):
+    return forecast.fit_models(_series(spark, sf_dir), ("ARIMA",))
+
+
+@query
+def fc_holt_winters(spark, sf_dir):
+    return forecast.fit_models(_series(spark, sf_dir), ("HoltWinters",))
+
+
+@query
+def fc_forecast(spark, sf_dir):
+    return forecast.forecast(_series(spark, sf_dir), 30)
+
+
+@query
+def fc_series(spark, sf_dir):
+    return _series(spark, sf_dir)
+
+
+def _series(spark, sf_dir):
+    s = star(spark, sf_dir)
+    rows = kpi.sales(s, date=("FullDate",), location=("Country",)).withColumnRenamed("FullDate", "InvoiceDate")
+    return forecast.daily_by_series(rows, "Country")
+
+
+def _invoice_forest(spark, sf_dir):
+    table = _written(spark, sf_dir, "invoice", lambda: feat_invoice(spark, sf_dir))
+    nodes = iforest.train(table, config.INVOICE_FEATURES, ["InvoiceNo"])
+    scored = iforest.with_score(table, nodes, config.INVOICE_FEATURES, "AnomalyScore")
+    return _written(spark, sf_dir, "invoice_scores", lambda: scored)
+
+
+@query
+def ml_iforest(spark, sf_dir):
+    return iforest.flag(_invoice_forest(spark, sf_dir), "AnomalyScore", "IsAnomaly", 0.1)
+
+
+@query
+def ml_line_anomaly(spark, sf_dir):
+    """Flags of the lines on quantity, price and revenue, each judged alone; with their counts per column."""
+    names = ["Quantity", "UnitPrice", "TotalRevenue"]
+    lines = open_warehouse(spark, sf_dir).lines
+    scored = lines
+    for c in names:
+        nodes = iforest.train(lines, [c], ["InvoiceNo", "StockCode", "Quantity"])
+        scored = iforest.with_score(scored, nodes, [c], f"{c}_anomaly_score")
+    scored = _written(spark, sf_dir, "line_scores", lambda: scored)
+    for c in names:
+        scored = iforest.flag(scored, f"{c}_anomaly_score", f"{c}_anomaly")
+    return plain(scored)
+
+
+@query
+def ml_run_status(spark, sf_dir):
+    """Status of the four analyses."""
+    table = _segment_features(spark, sf_dir)
+    return runner.run_all(spark, star(spark, sf_dir).fact, {
+        "customer_segmentation": lambda: kmeans.segment_stats(kmeans.predict(kmeans.train(table, restarts=2), table)),
+        "churn_prediction": lambda: ml_churn(spark, sf_dir),
+        "demand_forecasting": lambda: fc_forecast(spark, sf_dir),
+        "anomaly_detection": lambda: ml_iforest(spark, sf_dir),
+    })
