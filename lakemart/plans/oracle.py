@@ -980,3 +980,33 @@ LEFT JOIN (SELECT series, day, sum(TotalRevenue) AS v FROM x GROUP BY series, da
     "lines", extra={"x": "SELECT Country AS series, CAST(InvoiceDate AS DATE) AS day, TotalRevenue FROM lines UNION ALL "
                          "SELECT 'ALL', CAST(InvoiceDate AS DATE), TotalRevenue FROM lines"}
 )
+
+# --- streams: the whole input in one go -----------------------------------------------------------
+STREAMED = (
+    "SELECT *, CAST(Quantity * UnitPrice AS DECIMAL(12,2)) AS TotalRevenue FROM kept "
+    "WHERE trim(StockCode) <> '' AND trim(Description) <> ''"
+)
+SQL["st_cleanse"] = _with(
+    "SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(TotalRevenue AS DOUBLE) AS TotalRevenue) FROM x",
+    "kept", extra={"x": STREAMED}
+)
+SQL["st_dedup"] = "SELECT event_id, user_id, event_type, value FROM events"
+SQL["st_enrich"] = _with(
+    """SELECT x.InvoiceNo, d.DateKey, coalesce(ck.CustomerKey, 0) AS CustomerKey, p.ProductKey, l.LocationKey, x.Quantity,
+  CAST(x.TotalRevenue AS DOUBLE) AS TotalRevenue
+FROM x JOIN d ON CAST(x.InvoiceDate AS DATE) = d.FullDate JOIN p ON x.StockCode = p.StockCode
+JOIN l ON x.Country = l.Country LEFT JOIN ck ON x.CustomerID = ck.CustomerID""", "kept", "d", "p", "l", "ck", extra={"x": STREAMED}
+)
+SQL["st_tumbling"] = (
+    "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
+    "count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL"
+)
+SQL["st_sliding"] = (
+    "SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS events, "
+    "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM (SELECT value, unnest(["
+    + ", ".join(f"time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL {m} MINUTE" for m in (0, 15, 30, 45))
+    + "]) AS s FROM events) GROUP BY s"
+)
+SQL["st_sessions"] = _with(
+    "SELECT user_id, session_start, events, views, clicks, purchases FROM s", extra={"s": SESSIONS}
+)

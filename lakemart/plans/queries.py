@@ -18,6 +18,7 @@ from lakemart.plans.warehouse import RUN_ID, open_warehouse
 from lakemart.session import work_dir
 from lakemart.sinks import tables as sinks
 from lakemart.sources import files, retail
+from lakemart.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -760,3 +761,75 @@ def ml_run_status(spark, sf_dir):
         "demand_forecasting": lambda: fc_forecast(spark, sf_dir),
         "anomaly_detection": lambda: ml_iforest(spark, sf_dir),
     })
+
+
+# --- streams: everything in the source is processed, the result table is read back -----------------------------
+WIDE_WATERMARK = "40 days"
+
+
+def _line_stream(spark, sf_dir):
+    w = open_warehouse(spark, sf_dir)
+    return jobs.read_stream(spark, f"{w.root}/raw", w.raw.schema, files_per_batch=2)
+
+
+def _event_stream(spark, sf_dir):
+    schema = retail.read_table(spark, sf_dir, "events").schema
+    # a pattern reads a single file as well as a folder of files
+    return jobs.read_stream(spark, f"{sf_dir}/events.parque[t]", schema)
+
+
+@query
+def st_cleanse(spark, sf_dir):
+    return plain(jobs.drain_append(jobs.cleansed(_line_stream(spark, sf_dir)), "cleanse"))
+
+
+@query
+def st_dedup(spark, sf_dir):
+    """Every event arrives twice and is kept once."""
+    doubled = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
+    once = jobs.drain_append(jobs.deduplicated(doubled, "ts", ["event_id"], WIDE_WATERMARK), "dedup")
+    return once.select("event_id", "user_id", "event_type", "value")
+
+
+@query
+def st_enrich(spark, sf_dir):
+    s = star(spark, sf_dir)
+    keyed = jobs.enriched(jobs.cleansed(_line_stream(spark, sf_dir)), s).select(
+        "InvoiceNo", "DateKey", "CustomerKey", "ProductKey", "LocationKey", "Quantity", "TotalRevenue"
+    )
+    return plain(jobs.drain_append(keyed, "enrich"))
+
+
+@query
+def st_tumbling(spark, sf_dir):
+    events = _event_stream(spark, sf_dir)
+    return jobs.drain_complete(jobs.windowed(events, "ts", "value", "1 hour", None, WIDE_WATERMARK), "tumbling")
+
+
+@query
+def st_sliding(spark, sf_dir):
+    events = _event_stream(spark, sf_dir)
+    return jobs.drain_complete(jobs.windowed(events, "ts", "value", "1 hour", "15 minutes", WIDE_WATERMARK), "sliding")
+
+
+@query
+def st_tumbling_late(spark, sf_dir):
+    """Append mode with a one-hour watermark: closed windows only."""
+    events = _event_stream(spark, sf_dir)
+    return jobs.drain_append(jobs.windowed(events, "ts", "value"), "late")
+
+
+@query
+def st_sessions(spark, sf_dir):
+    with jobs.local_session_merge(spark):
+        events = _event_stream(spark, sf_dir)
+        return jobs.drain_complete(jobs.sessionized(events, "ts", "user_id", "30 minutes", WIDE_WATERMARK), "sessions")
+
+
+@query
+def st_gate_load(spark, sf_dir):
+    """Lines per outcome when each micro-batch must pass the completeness gate."""
+    loaded = jobs.gated_load(
+        _line_stream(spark, sf_dir), lambda b: quality.completeness_rules(b, "RawLines", RAW_REQUIRED), "RawLines"
+    )
+    return loaded.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
