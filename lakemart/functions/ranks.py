@@ -9,8 +9,12 @@ special cases.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_ROWS = 4096
 RANGES = 256
@@ -24,20 +28,17 @@ def running_total(df: DataFrame, key: str, weight: str, out: str, by: list[str]
     driver. With fewer rows than that a plain window is enough.
     """
     by = by or []
-    sample = [
-        row[0]
-        for row in df.select(key).orderBy(F.xxhash64(*by, key), key).limit(sample_rows).collect()
-    ]
+    sample = df.select(key, F.col(key).cast("string")).orderBy(
+        F.xxhash64(*by, key), key
+    ).limit(sample_rows).collect()
     if len(sample) < sample_rows:
         order = Window.partitionBy(*by).orderBy(key)
         return df.withColumn(out, F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
-    sample.sort()
-    step = len(sample) / ranges
-    bounds = sorted({sample[int(i * step)] for i in range(1, ranges)})
-    field = df.schema[key].dataType
-    limits = F.array(*[F.lit(b).cast(field) for b in bounds])
-    ranged = df.withColumn("__range", F.size(F.filter(limits, lambda b: b <= F.col(key))))
+    ordered = sorted((row[0], row[1]) for row in sample)
+    picked = [ordered[int(i * len(ordered) / ranges)] for i in range(1, ranges)]
+    bounds = [text for _, text in dict.fromkeys(picked)]
+    ranged = df.withColumn("__range", _range_of(F.col(key), bounds, df.schema[key].dataType))
 
     # one row per range (and group): at most `ranges` rows per group
     ahead = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,6 +56,26 @@ def running_total(df: DataFrame, key: str, weight: str, out: str, by: list[str]
     )
 
 
+def _range_of(key: Column, bounds: list[str], kind: T.DataType) -> Column:
+    """Number of bounds at or below the key: first the block of bounds, then inside the block.
+
+    The bounds travel as one JSON literal, which the optimizer folds to an array.
+    """
+    width = max(1, math.isqrt(len(bounds)))
+    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+
+    def constant(values: list, nested: T.DataType) -> Column:
+        text = T.ArrayType(T.StringType()) if nested is kind else T.ArrayType(T.ArrayType(T.StringType()))
+        return F.from_json(F.lit(json.dumps(values)), text).cast(T.ArrayType(nested))
+
+    def reached(limits: Column) -> Column:
+        return F.size(F.filter(limits, lambda b: b <= key))
+
+    block = reached(constant([b[0] for b in blocks], kind))
+    inside = reached(F.element_at(constant(blocks, T.ArrayType(kind)), F.greatest(block, F.lit(1))))
+    return F.when(block == 0, 0).otherwise((block - 1) * width + inside)
+
+
 def dense_key(df: DataFrame, natural_key: str, out: str, **options) -> DataFrame:
     """Number distinct natural keys 1..n in key order."""
     counted = running_total(df.withColumn("__one", F.lit(1).cast("long")), natural_key, "__one", "__key", **options)

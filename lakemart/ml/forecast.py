@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.features import filled_days
+from lakemart.session import shuffle_width
+
 ALL = "ALL"
 PERIOD = 12
 Z95 = 1.959963984540054
@@ -20,18 +23,16 @@ FORECAST_COLUMNS = "series string, model string, step int, date date, forecast d
 
 
 def daily_by_series(sales: DataFrame, series: str, value: str = "TotalRevenue") -> DataFrame:
-    """(series, Date, value) per day with gaps as zero, for every series and for all together."""
-    days = sales.groupBy(F.col(series).cast("string").alias("series"), F.col("InvoiceDate").alias("Date")).agg(
+    """(series, Date, value) per day with gaps as zero, for every series and for all together.
+
+    One scan: each day's total counts for its series and for the grand total.
+    """
+    days = sales.groupBy(F.col(series).cast("string").alias("name"), F.col("InvoiceDate").alias("Date")).agg(
         F.sum(value).alias("value")
     )
-    everything = days.groupBy(F.lit(ALL).alias("series"), "Date").agg(F.sum("value").alias("value"))
-    found = days.unionByName(everything)
-    spine = found.groupBy("series").agg(F.min("Date").alias("lo"), F.max("Date").alias("hi")).select(
-        "series", F.explode(F.sequence("lo", "hi")).alias("Date")
-    )
-    return spine.join(found, ["series", "Date"], "left").select(
-        "series", "Date", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")
-    )
+    both = days.select(F.explode(F.array("name", F.lit(ALL))).alias("series"), "Date", "value")
+    totals = both.groupBy("series", "Date").agg(F.sum("value").cast("double").alias("value"))
+    return filled_days(totals, ["value"], ["series"])
 
 
 def arima_residuals(y: np.ndarray, phi, theta) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +134,11 @@ def _criteria(fit: dict) -> tuple[float, float]:
 MODELS = {"ARIMA": (fit_arima, arima_forecast), "HoltWinters": (fit_holt_winters, holt_winters_forecast)}
 
 
+def _grouped(series: DataFrame):
+    """Groups spread over all shuffle partitions: fitting costs far more than its few bytes suggest."""
+    return series.repartition(shuffle_width(series.sparkSession), "series").groupBy("series")
+
+
 def fit_models(series: DataFrame, models: tuple[str, ...] = ("ARIMA", "HoltWinters")) -> DataFrame:
     """Parameters and error measures per series and model. Series under two periods are too short and left out."""
 
@@ -146,7 +152,7 @@ def fit_models(series: DataFrame, models: tuple[str, ...] = ("ARIMA", "HoltWinte
                 rows.append((name, model, len(y), *got["p"], got["mse"], got["mse"] ** 0.5, aic, bic))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in FIT_COLUMNS.split(", ")])
 
-    return series.groupBy("series").applyInPandas(fit, FIT_COLUMNS)
+    return _grouped(series).applyInPandas(fit, FIT_COLUMNS)
 
 
 def forecast(series: DataFrame, steps: int = 30, start: str | None = None,
@@ -169,4 +175,4 @@ def forecast(series: DataFrame, steps: int = 30, start: str | None = None,
         columns = [c.split()[0] for c in FORECAST_COLUMNS.split(", ")]
         return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 
-    return series.groupBy("series").applyInPandas(predict, FORECAST_COLUMNS)
+    return _grouped(series).applyInPandas(predict, FORECAST_COLUMNS)

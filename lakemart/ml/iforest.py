@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.ranks import exact_quantiles
+from lakemart.session import shuffle_width
 
 TREES = 100
 SAMPLE = 256
+SCALE = 1_000_000
 NODE_COLUMNS = "tree int, node int, feature int, split double, left int, right int, length double"
 
 
@@ -61,15 +63,19 @@ def train(df: DataFrame, columns: list[str], key: list[str], trees: int = TREES,
           seed: int = 42) -> DataFrame:
     """One row per tree node.
 
-    A pool of trees * sample rows is taken by hash order; every tree draws its
-    rows from the pool by its own hash.
+    A pool of trees * sample rows is taken by hash order. Every tree draws about
+    twice its sample from the pool by its own hash and keeps the first rows.
     """
     pool = (
         df.select(F.xxhash64(*key, F.lit(seed)).alias("h"), *[F.col(c).cast("double").alias(c) for c in columns])
         .orderBy("h", *columns).limit(trees * sample)
     )
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("h", "tree"), "h", *columns)
+    size = pool.agg(F.count(F.lit(1))).scalar()
+    share = F.lit(2.0 * sample * SCALE) / size
+    drawn = pool.withColumn("share", share).withColumn("tree", F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64("h", t), F.lit(SCALE)) < F.col("share")
+    )))
+    order = Window.partitionBy("tree").orderBy(F.xxhash64("h", "tree", F.lit(1)), "h", *columns)
     taken = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     depth = math.ceil(math.log2(max(sample, 2)))
 
@@ -82,7 +88,7 @@ def train(df: DataFrame, columns: list[str], key: list[str], trees: int = TREES,
         out.insert(0, "tree", tree)
         return out
 
-    return taken.groupBy("tree").applyInPandas(grow, NODE_COLUMNS)
+    return taken.repartition(shuffle_width(df.sparkSession), "tree").groupBy("tree").applyInPandas(grow, NODE_COLUMNS)
 
 
 def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, rows_seen: int = SAMPLE) -> DataFrame:

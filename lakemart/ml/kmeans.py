@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -25,7 +27,8 @@ def train(features: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42,
           columns: list[str] | None = None) -> PipelineModel:
     """Scale, then the cheapest of several K-means runs.
 
-    Pass features from a written table: every run scans them. Dividing by the
+    Pass features from a written table: every run scans them. The runs are
+    independent and share the cluster. Dividing by the
     sample or the population deviation scales all columns alike, which leaves
     the clusters unchanged.
     """
@@ -36,7 +39,10 @@ def train(features: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42,
     ]).fit(features)
     scaled = prepare.transform(features).select("features").persist()
     try:
-        models = [KMeans(k=k, seed=seed + i, predictionCol="Segment").fit(scaled) for i in range(restarts)]
+        with ThreadPoolExecutor(4) as pool:
+            models = list(pool.map(
+                lambda i: KMeans(k=k, seed=seed + i, predictionCol="Segment").fit(scaled), range(restarts)
+            ))
     finally:
         scaled.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)

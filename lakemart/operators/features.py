@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart import config
@@ -100,25 +100,30 @@ def invoice_features(sales_rows: DataFrame) -> DataFrame:
     )
 
 
-def daily_series(sales_rows: DataFrame) -> DataFrame:
-    """Revenue, pieces, orders and customers per day, days without sales as zero.
+def filled_days(days: DataFrame, values: list[str], by: list[str] | None = None) -> DataFrame:
+    """Add the days missing between the first and the last, with zero values.
 
-    The spine is built from the first and last day, one row per calendar day.
+    Each day also emits the empty days up to the next one, so nothing is joined
+    or scanned twice. A window partition holds one row per calendar day.
     """
+    by = by or []
+    following = F.lead("Date").over(Window.partitionBy(*by).orderBy("Date"))
+    last = F.coalesce(F.date_sub(following, 1), F.col("Date"))
+    spread = days.withColumn("__day", F.explode(F.sequence("Date", last)))
+    present = F.col("__day") == F.col("Date")
+    zero = {v: F.when(present, F.col(v)).otherwise(F.lit(0).cast(days.schema[v].dataType)).alias(v) for v in values}
+    return spread.select(*by, F.col("__day").alias("Date"), *zero.values())
+
+
+def daily_series(sales_rows: DataFrame) -> DataFrame:
+    """Revenue, pieces, orders and customers per day, days without sales as zero."""
     days = sales_rows.groupBy(F.col("InvoiceDate").alias("Date")).agg(
-        F.sum("TotalRevenue").alias("__revenue"),
+        dbl(F.sum("TotalRevenue")).alias("Revenue"),
         F.sum("Quantity").cast("bigint").alias("Quantity"),
         F.countDistinct("InvoiceNo").alias("Orders"),
         F.countDistinct("CustomerKey").alias("Customers"),
     )
-    spine = sales_rows.agg(F.min("InvoiceDate").alias("lo"), F.max("InvoiceDate").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias("Date")
-    )
-    return spine.join(days, "Date", "left").select(
-        "Date",
-        F.coalesce(dbl("__revenue"), F.lit(0.0)).alias("Revenue"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("Quantity", "Orders", "Customers")],
-    )
+    return filled_days(days, ["Revenue", "Quantity", "Orders", "Customers"])
 
 
 def resampled(series: DataFrame, unit: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,7 +76,13 @@ class Warehouse:
 
     @property
     def lines(self) -> DataFrame:
-        return self._table("lines", lambda: cleanse.with_order_quantity(cleanse.clean_lines(self.typed)))
+        def build() -> DataFrame:
+            # read the raw zone where it is written, else go straight from the source
+            source = self._tables.get("raw")
+            typed = cleanse.typed_lines(source if source is not None else self._raw())
+            return cleanse.with_order_quantity(cleanse.clean_lines(typed))
+
+        return self._table("lines", build)
 
     @property
     def date(self) -> DataFrame:
@@ -126,7 +133,16 @@ class Warehouse:
             ["SaleYear", "SaleMonth"],
         )
 
+    def write(self, name: str) -> DataFrame:
+        """Build and write one table by its attribute name."""
+        return getattr(self, name)
+
     def star(self) -> Star:
+        """All tables. The dimensions do not depend on each other, so their jobs run side by side."""
+        if "fact_sales" not in self._tables:
+            self.write("lines")
+            with ThreadPoolExecutor(4) as pool:
+                list(pool.map(self.write, ("customer", "product", "location", "date")))
         return Star(self.fact, self.date, self.customer, self.product, self.location, self.channel)
 
 
@@ -160,14 +176,17 @@ DRIVER_SETTINGS = Settings(
 )
 
 
+def new_warehouse(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """A warehouse over a folder of order tables, written under ``root``."""
+    return Warehouse(
+        spark, root, lambda: retail.retail_lines(spark, sf_dir), retail.country_lookup(spark, sf_dir), DRIVER_SETTINGS
+    )
+
+
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse over a folder of order tables; built once per session and source state."""
     mark = _fingerprint(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, mark)
     if key not in _OPEN:
-        root = work_dir(spark, "warehouse", mark)
-        _OPEN[key] = Warehouse(
-            spark, root, lambda: retail.retail_lines(spark, sf_dir),
-            retail.country_lookup(spark, sf_dir), DRIVER_SETTINGS,
-        )
+        _OPEN[key] = new_warehouse(spark, sf_dir, work_dir(spark, "warehouse", mark))
     return _OPEN[key]

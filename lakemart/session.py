@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -32,6 +32,21 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "lakemart", spark.sparkContext.applicationId, *parts])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition an input that has fewer splits than the session has cores.
+
+    A few large files, or one compressed one, would otherwise keep most cores
+    idle through everything before the first shuffle. Inputs with enough splits
+    pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def local_session(cpus: str = "8", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     return (
