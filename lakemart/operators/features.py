@@ -108,8 +108,8 @@ def filled_days(days: DataFrame, values: list[str], by: list[str] | None = None)
     """
     by = by or []
     following = F.lead("Date").over(Window.partitionBy(*by).orderBy("Date"))
-    last = F.coalesce(F.date_sub(following, 1), F.col("Date"))
-    spread = days.withColumn("__day", F.explode(F.sequence("Date", last)))
+    reach = days.withColumn("__last", F.coalesce(F.date_sub(following, 1), F.col("Date")))
+    spread = reach.withColumn("__day", F.explode(F.sequence("Date", "__last")))
     present = F.col("__day") == F.col("Date")
     zero = {v: F.when(present, F.col(v)).otherwise(F.lit(0).cast(days.schema[v].dataType)).alias(v) for v in values}
     return spread.select(*by, F.col("__day").alias("Date"), *zero.values())
