@@ -63,6 +63,13 @@ def _pipeline(columns: list[str], trees: int, depth: int, seed: int) -> Pipeline
     ])
 
 
+def _fit(pipeline: Pipeline, data: DataFrame) -> PipelineModel:
+    """Fit, and keep the forest without its training summary: the summary holds
+    on to the training frame, which would travel with every scoring task."""
+    fitted = pipeline.fit(data)
+    return PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
+
+
 def _accuracy(scored: DataFrame) -> float:
     return scored.agg(F.avg((F.col(LABEL) == F.col("prediction")).cast("double"))).first()[0]
 
@@ -74,14 +81,14 @@ def train(features: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42
     data = with_class_weight(with_folds(features)).persist()
     try:
         pipeline = _pipeline(columns, trees, depth, seed)
-        model = pipeline.fit(data.where("fold <> 0"))
+        model = _fit(pipeline, data.where("fold <> 0"))
         tested = model.transform(data.where("fold = 0")).select(LABEL, "prediction")
         confusion_rows = tested.groupBy(LABEL, "prediction").count().collect()
         hits = sum(r["count"] for r in confusion_rows if r[LABEL] == r["prediction"])
         scores = []
         if cross_validate:
             for i in range(FOLDS):
-                fitted = model if i == 0 else pipeline.fit(data.where(F.col("fold") != i))
+                fitted = model if i == 0 else _fit(pipeline, data.where(F.col("fold") != i))
                 scores.append(_accuracy(fitted.transform(data.where(F.col("fold") == i))))
     finally:
         data.unpersist()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.ranks import exact_quantiles
-from lakemart.session import shuffle_width
+from lakemart.session import shuffle_width, spread
 
 TREES = 100
 SAMPLE = 256
@@ -123,7 +123,7 @@ def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, ro
             yield pd.Series(-np.power(2.0, -(total / len(trees)) / norm))
 
     udf = F.pandas_udf(_typed(score), T.DoubleType())
-    return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
+    return spread(df).withColumn(out, udf(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
 
 
 def _typed(fn):

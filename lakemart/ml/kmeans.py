@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart import config
+from lakemart.session import spread
 
 # --- fixed values: segment names by mean recency, frequency and monetary value ---
 # (name, recency below, recency above, frequency above, frequency below, monetary above)
@@ -37,7 +38,7 @@ def train(features: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42,
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
     ]).fit(features)
-    scaled = prepare.transform(features).select("features").persist()
+    scaled = prepare.transform(spread(features)).select("features").persist()
     try:
         with ThreadPoolExecutor(4) as pool:
             models = list(pool.map(
