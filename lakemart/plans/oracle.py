@@ -1010,3 +1010,4 @@ SQL["st_sliding"] = (
 SQL["st_sessions"] = _with(
     "SELECT user_id, session_start, events, views, clicks, purchases FROM s", extra={"s": SESSIONS}
 )
+SQL["st_gate_load"] = _with("SELECT 'loaded' AS outcome, count(*) AS records FROM raw", "raw")
