@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,3 +38,13 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def range_index(key: Column, bounds: list) -> Column:
+    """Number of sorted ``bounds`` at or below the key: first among every n-th bound, then inside that stretch."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(bounds)))
+    whole, tops = F.lit(bounds), F.lit(bounds[::width])
+    start = F.greatest(F.size(F.filter(tops, lambda b: b <= key)) - 1, F.lit(0)) * width
+    return start + F.size(F.filter(F.slice(whole, start + 1, F.lit(width)), lambda b: b <= key))

@@ -35,7 +35,7 @@ WITH d AS (
 g AS (
   SELECT doc_id, source, text, w,
          [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] AS grams,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d),
 spots AS (SELECT doc_id, unnest(grams) AS gram, unnest(range(len(grams))) AS spot FROM g),
 twice AS (SELECT doc_id, spot FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM spots) WHERE n > 1),

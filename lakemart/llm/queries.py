@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import mixing, quality_rules, sharding
+from lakemart.llm import fingerprints, mixing, ngram_join, quality_rules, sharding
 from lakemart.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,13 @@ def op5_quality_rules(spark, sf_dir):
 def op7_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.plan(docs).drop("key", "tie", "copies", "part")
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
