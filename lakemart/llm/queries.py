@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakemart.llm import bpe, fingerprints, mixing, ngram_join, quality_rules, sharding, warc
+from lakemart.llm.common import fresh_path, staged, table
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file: in the folder TOKENIZERS_DIR, else where its package says."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
-from lakemart.llm import fingerprints, mixing, ngram_join, quality_rules, sharding
-from lakemart.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,3 +53,20 @@ def op10_fingerprints(spark, sf_dir):
 @query
 def op9_ngram_join(spark, sf_dir):
     return ngram_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op8_warc(spark, sf_dir):
+    path = fresh_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # responses are read with their payloads, which are checked; of revisits only headers are parsed
+    responses = warc.read_archives(spark, path, payload=True).where("record_type = 'response'")
+    revisits = warc.read_archives(spark, path).where("record_type = 'revisit'")
+    return responses.withColumn("payload_bytes", F.length("payload").cast("long")).select(*columns).union(
+        revisits.select(*columns))
