@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, fingerprints, mixing, ngram_join, quality_rules, sharding, warc
+from lakemart.llm import bpe, fingerprints, mixing, ngram_join, quality_rules, sharding, suffix_dedup, warc
 from lakemart.llm.common import fresh_path, staged, table
 
 
@@ -70,3 +70,8 @@ def op8_warc(spark, sf_dir):
     revisits = warc.read_archives(spark, path).where("record_type = 'revisit'")
     return responses.withColumn("payload_bytes", F.length("payload").cast("long")).select(*columns).union(
         revisits.select(*columns))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
