@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 
@@ -31,6 +32,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose frames are gone; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, fingerprints, mixing, ngram_join, quality_rules, sharding, suffix_dedup, warc
+from lakemart.llm import (
+    bpe, fingerprints, line_dedup, mixing, ngram_join, quality_model, quality_rules, sharding, suffix_dedup, warc)
 from lakemart.llm.common import fresh_path, staged, table
 
 
@@ -75,3 +76,16 @@ def op8_warc(spark, sf_dir):
 @query
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+@query
+def op3_quality_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.score(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_templates(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
