@@ -7,8 +7,9 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import mixing, quality_rules
-from lakemart.llm.common import staged, table
+from lakemart.llm import bpe, line_dedup, mixing, ngram_join, quality_rules
+from lakemart.llm.common import release, staged, table
+from lakemart.llm.queries import vocabulary
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,14 +19,38 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(measured, host="source").where("kept").select("__doc.*")
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring line templates go but for their first occurrence; so do documents left without a word by that."""
+    return line_dedup.drop_templates(docs, counts=False, drop_emptied=True)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked documents the one with the least id stays."""
+    linked = ngram_join.similar_components(docs.select("doc_id", "text"))
+    others = staged(linked.where("component_id != doc_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
+    release(spark)
+    return docs.join(others, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: rows beyond a budget go, rows below it repeat."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", rules), ("mixing sources to target weights", mix)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text as tokens, by number and digest."""
+    return bpe.encode_decode(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", rules),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", tokens),
+]
 
-ORACLE_SQL = None  # stages use digests and templates that SQL cannot express
+ORACLE_SQL = None  # line templates and byte-pair merges are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
