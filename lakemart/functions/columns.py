@@ -25,15 +25,8 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def sample_std(col: str) -> Column:
-    """Sample standard deviation from exact decimal sums; null below two rows."""
-    wide = F.col(col).cast("decimal(18,2)")
-    n = F.count(col)
-    # n*sum(x^2) - sum(x)^2 is exact in decimal, so the variance cannot go negative
-    spread = (
-        n.cast("double") * F.sum(wide * wide).cast("double")
-        - F.sum(wide).cast("double") * F.sum(wide).cast("double")
-    )
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1)).cast("double")))
+    """Sample standard deviation; null below two rows."""
+    return F.stddev_samp(F.col(col).cast("double"))
 
 
 def clean_text(col: Column) -> Column:

@@ -1,81 +1,56 @@
 """Global order without a global sort task.
 
 ``running_total`` gives every row the sum of a weight over all rows up to and
-including it in key order. Ranges of the key come from a bounded, hash-chosen
-sample, so the range of a row depends on its key alone: a lost executor
-recomputes the same answer. Dense surrogate keys and exact quantiles are both
-special cases.
+including it in key order. Spark range-partitions the rows and writes them with
+their partition's number; sums per partition, added up in order, are the offsets
+of the totals inside each partition. There is one path for all sizes: partitions
+come from the session's shuffle width, and a written row keeps its place when an
+executor is lost. Dense surrogate keys and exact quantiles are both special cases.
 """
 
 from __future__ import annotations
 
-import json
-import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SAMPLE_ROWS = 4096
-RANGES = 256
+from lakemart.session import shuffle_width, work_dir
 
 
 def running_total(df: DataFrame, key: str, weight: str, out: str, by: list[str] | None = None,
-                  sample_rows: int = SAMPLE_ROWS, ranges: int = RANGES) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Add ``out``: inclusive running sum of ``weight`` in ``key`` order per ``by``.
 
-    ``key`` must be unique within ``by``. At most ``sample_rows`` keys reach the
-    driver. With fewer rows than that a plain window is enough.
+    ``key`` must be unique within ``by``. Rows are written once to the shared folder.
     """
     by = by or []
-    sample = df.select(key, F.col(key).cast("string")).orderBy(
-        F.xxhash64(*by, key), key
-    ).limit(sample_rows).collect()
-    if len(sample) < sample_rows:
-        order = Window.partitionBy(*by).orderBy(key)
-        return df.withColumn(out, F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-
-    ordered = sorted((row[0], row[1]) for row in sample)
-    picked = [ordered[int(i * len(ordered) / ranges)] for i in range(1, ranges)]
-    bounds = [text for _, text in dict.fromkeys(picked)]
-    ranged = df.withColumn("__range", _range_of(F.col(key), bounds, df.schema[key].dataType))
-
-    # one row per range (and group): at most `ranges` rows per group
+    spark = df.sparkSession
+    path = work_dir(spark, "ranks", uuid.uuid4().hex)
+    ranged = df.repartitionByRange(partitions or shuffle_width(spark), *by, key).withColumn(
+        "__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    written = spark.read.schema(ranged.schema).parquet(path)
+
+    # one row per partition and group that meet: the rows of a group lie in neighbouring partitions
     ahead = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*by, "__range")
-        .agg(F.sum(weight).alias("__sum"))
-        .select(*by, "__range", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"))
+    sums = written.groupBy(*by, "__range").agg(F.sum(weight).alias("__sum"))
+    offsets = sums.select(
+        *[F.col(b).alias(f"__by{i}") for i, b in enumerate(by)], F.col("__range").alias("__at"),
+        F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"),
     )
+    same = F.col("__range") == F.col("__at")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__by{i}"))
     local = Window.partitionBy(*by, "__range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.withColumn("__local", F.sum(weight).over(local))
-        .join(offsets, [*by, "__range"])
+        written.withColumn("__local", F.sum(weight).over(local))
+        .join(offsets, same)
         .withColumn(out, F.col("__local") + F.col("__offset"))
-        .drop("__range", "__local", "__offset")
+        .drop("__range", "__at", "__local", "__offset", *[f"__by{i}" for i in range(len(by))])
     )
 
 
-def _range_of(key: Column, bounds: list[str], kind: T.DataType) -> Column:
-    """Number of bounds at or below the key: first the block of bounds, then inside the block.
-
-    The bounds travel as one JSON literal, which the optimizer folds to an array.
-    """
-    width = max(1, math.isqrt(len(bounds)))
-    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
-
-    def constant(values: list, nested: T.DataType) -> Column:
-        text = T.ArrayType(T.StringType()) if nested is kind else T.ArrayType(T.ArrayType(T.StringType()))
-        return F.from_json(F.lit(json.dumps(values)), text).cast(T.ArrayType(nested))
-
-    def reached(limits: Column) -> Column:
-        return F.size(F.filter(limits, lambda b: b <= key))
-
-    block = reached(constant([b[0] for b in blocks], kind))
-    inside = reached(F.element_at(constant(blocks, T.ArrayType(kind)), F.greatest(block, F.lit(1))))
-    return F.when(block == 0, 0).otherwise((block - 1) * width + inside)
-
-
 def dense_key(df: DataFrame, natural_key: str, out: str, **options) -> DataFrame:
     """Number distinct natural keys 1..n in key order."""
     counted = running_total(df.withColumn("__one", F.lit(1).cast("long")), natural_key, "__one", "__key", **options)

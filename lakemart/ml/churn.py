@@ -129,3 +129,13 @@ def classification_report(confusion: DataFrame) -> DataFrame:
         F.try_divide(2.0 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)
     )
     return joined.select("label", "precision", "recall", f1.alias("f1"), "support", accuracy.alias("accuracy"))
+
+
+def metrics(result: ChurnResult, spark: SparkSession) -> DataFrame:
+    """Everything a training says about itself: (metric, name, value)."""
+    rows = [("accuracy", "test fold", float(result.accuracy))]
+    rows += [("cross_validation", f"fold {i}", float(v)) for i, v in enumerate(result.cv_scores)]
+    measured = spark.createDataFrame(rows, "metric string, name string, value double")
+    weights = result.importances(spark).select(
+        F.lit("importance").alias("metric"), F.col("feature").alias("name"), F.col("importance").alias("value"))
+    return measured.unionByName(weights)

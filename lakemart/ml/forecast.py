@@ -18,8 +18,8 @@ from lakemart.session import shuffle_width
 ALL = "ALL"
 PERIOD = 12
 Z95 = 1.959963984540054
-FIT_COLUMNS = "series string, model string, n int, p1 double, p2 double, p3 double, mse double, rmse double, aic double, bic double"
-FORECAST_COLUMNS = "series string, model string, step int, date date, forecast double, lower double, upper double"
+FIT_COLUMNS = "series string, model string, n int, p1 double, p2 double, p3 double, mse double, rmse double, aic double, bic double, status string"
+FORECAST_COLUMNS = "series string, model string, step int, date date, forecast double, lower double, upper double, status string"
 
 
 def daily_by_series(sales: DataFrame, series: str, value: str = "TotalRevenue") -> DataFrame:
@@ -131,6 +131,9 @@ def _criteria(fit: dict) -> tuple[float, float]:
     return float(2 * k - 2 * ll), float(k * np.log(n) - 2 * ll)
 
 
+# days a model needs: a difference and its predecessor, or two whole periods
+LEAST_DAYS = {"ARIMA": 3, "HoltWinters": 2 * PERIOD}
+FITTED, TOO_SHORT = "fitted", "too short"
 MODELS = {"ARIMA": (fit_arima, arima_forecast), "HoltWinters": (fit_holt_winters, holt_winters_forecast)}
 
 
@@ -140,16 +143,18 @@ def _grouped(series: DataFrame):
 
 
 def fit_models(series: DataFrame, models: tuple[str, ...] = ("ARIMA", "HoltWinters")) -> DataFrame:
-    """Parameters and error measures per series and model. Series under two periods are too short and left out."""
+    """Parameters and error measures per series and model; a series too short for a model says so in its status."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf.sort_values("Date")["value"].to_numpy(dtype=float)
         name, rows = pdf["series"].iloc[0], []
-        if len(y) >= 2 * PERIOD:
-            for model in models:
-                got = MODELS[model][0](y)
-                aic, bic = _criteria(got)
-                rows.append((name, model, len(y), *got["p"], got["mse"], got["mse"] ** 0.5, aic, bic))
+        for model in models:
+            if len(y) < LEAST_DAYS[model]:
+                rows.append((name, model, len(y), *[None] * 7, TOO_SHORT))
+                continue
+            got = MODELS[model][0](y)
+            aic, bic = _criteria(got)
+            rows.append((name, model, len(y), *got["p"], got["mse"], got["mse"] ** 0.5, aic, bic, FITTED))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in FIT_COLUMNS.split(", ")])
 
     return _grouped(series).applyInPandas(fit, FIT_COLUMNS)
@@ -157,22 +162,30 @@ def fit_models(series: DataFrame, models: tuple[str, ...] = ("ARIMA", "HoltWinte
 
 def forecast(series: DataFrame, steps: int = 30, start: str | None = None,
              models: tuple[str, ...] = ("ARIMA", "HoltWinters")) -> DataFrame:
-    """Daily forecasts with 95 % limits, from ``start`` or the day after the last one."""
+    """Daily forecasts with 95 % limits, from ``start`` or the day after the last one.
+
+    A series too short for a model gives one row without step and values.
+    """
+
+    columns = [c.split()[0] for c in FORECAST_COLUMNS.split(", ")]
 
     def predict(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("Date")
         y = pdf["value"].to_numpy(dtype=float)
         first = pd.Timestamp(start) if start else pd.Timestamp(pdf["Date"].iloc[-1]) + pd.Timedelta(days=1)
         name, parts = pdf["series"].iloc[0], []
-        for model in models if len(y) >= 2 * PERIOD else ():
+        for model in models:
+            if len(y) < LEAST_DAYS[model]:
+                parts.append(pd.DataFrame([{"series": name, "model": model, "status": TOO_SHORT}], columns=columns))
+                continue
             fit, ahead = MODELS[model]
             points, error = ahead(y, fit(y), steps)
             parts.append(pd.DataFrame({
                 "series": name, "model": model, "step": np.arange(1, steps + 1),
                 "date": pd.date_range(first, periods=steps).date, "forecast": points,
-                "lower": points - Z95 * error, "upper": points + Z95 * error,
+                "lower": points - Z95 * error, "upper": points + Z95 * error, "status": FITTED,
             }))
-        columns = [c.split()[0] for c in FORECAST_COLUMNS.split(", ")]
-        return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
+        made = pd.concat(parts)[columns].astype(object)
+        return made.where(made.notna(), None)
 
     return _grouped(series).applyInPandas(predict, FORECAST_COLUMNS)

@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.ranks import exact_quantiles
-from lakemart.session import shuffle_width, spread
+from lakemart.session import shuffle_width
 
 TREES = 100
 SAMPLE = 256
-SCALE = 1_000_000
 NODE_COLUMNS = "tree int, node int, feature int, split double, left int, right int, length double"
 
 
@@ -63,17 +62,17 @@ def train(df: DataFrame, columns: list[str], key: list[str], trees: int = TREES,
           seed: int = 42) -> DataFrame:
     """One row per tree node.
 
-    A pool of trees * sample rows is taken by hash order. Every tree draws about
-    twice its sample from the pool by its own hash and keeps the first rows.
+    Every tree draws about twice its sample from the whole table, by a hash of row and
+    tree under a threshold, and keeps the first rows of its own hash order.
     """
-    pool = (
-        df.select(F.xxhash64(*key, F.lit(seed)).alias("h"), *[F.col(c).cast("double").alias(c) for c in columns])
-        .orderBy("h", *columns).limit(trees * sample)
-    )
-    size = pool.agg(F.count(F.lit(1))).scalar()
-    share = F.lit(2.0 * sample * SCALE) / size
-    drawn = pool.withColumn("share", share).withColumn("tree", F.explode(F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64("h", t), F.lit(SCALE)) < F.col("share")
+    keyed = df.select(F.xxhash64(*key, F.lit(seed)).alias("h"), *[F.col(c).cast("double").alias(c) for c in columns])
+    share = F.lit(2.0 * sample) / df.agg(F.count(F.lit(1))).scalar()
+
+    def place(t):
+        return F.shiftrightunsigned(F.xxhash64("h", t), 1) / float(1 << 63)
+
+    drawn = keyed.withColumn("share", share).withColumn("tree", F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: place(t) < F.col("share")
     )))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("h", "tree", F.lit(1)), "h", *columns)
     taken = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
@@ -123,7 +122,7 @@ def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, ro
             yield pd.Series(-np.power(2.0, -(total / len(trees)) / norm))
 
     udf = F.pandas_udf(_typed(score), T.DoubleType())
-    return spread(df).withColumn(out, udf(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
+    return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
 
 
 def _typed(fn):

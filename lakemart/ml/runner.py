@@ -28,5 +28,5 @@ def run_all(spark: SparkSession, fact: DataFrame, analyses: dict[str, Callable[[
         try:
             rows.append((name, "completed", run().count(), None))
         except Exception as error:  # noqa: BLE001 - the status row carries the error on
-            rows.append((name, "failed", 0, str(error)[:500]))
+            rows.append((name, "failed", 0, str(error)))
     return spark.createDataFrame(rows, STATUS_COLUMNS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart import config
 from lakemart.functions.columns import dbl, first_at_least, mean_of
+from lakemart.functions.distinct import aggregate
 from lakemart.functions.ranks import exact_quantiles
 from lakemart.operators.kpi import known_only, sales
 
@@ -170,16 +171,13 @@ def product_performance(star, grades=None) -> DataFrame:
 
     OrdersPerCustomer is a whole-number division, as published.
     """
-    metrics = sales(star, date=("FullDate",)).groupBy("ProductKey").agg(
-        F.countDistinct("InvoiceNo").alias("TotalOrders"),
+    metrics = aggregate(sales(star, date=("FullDate",)), ["ProductKey"], [
         F.sum("Quantity").cast("bigint").alias("TotalQuantity"),
         F.sum("TotalRevenue").alias("__revenue"),
         mean_of("UnitPrice").alias("AvgUnitPrice"),
-        F.countDistinct("CustomerKey").alias("UniqueCustomers"),
-        F.countDistinct("FullDate").alias("ActiveDays"),
         F.min("FullDate").alias("FirstSaleDate"),
         F.max("FullDate").alias("LastSaleDate"),
-    )
+    ], {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "ActiveDays": "FullDate"})
     revenue, pieces = dbl("__revenue"), F.col("TotalQuantity").cast("double")
     stage = F.lit(config.LIFECYCLE_DEFAULT)
     for days, name in reversed(config.LIFECYCLE):
@@ -266,20 +264,19 @@ def product_top(products: DataFrame, k: int = 50) -> DataFrame:
 
 def _breadth() -> list[Column]:
     return [
-        F.countDistinct("InvoiceNo").alias("TotalOrders"),
         F.sum("Quantity").cast("bigint").alias("TotalQuantity"),
         F.sum("TotalRevenue").alias("__revenue"),
         mean_of("TotalRevenue").alias("AvgOrderValue"),
-        F.countDistinct("CustomerKey").alias("UniqueCustomers"),
-        F.countDistinct("ProductKey").alias("UniqueProducts"),
     ]
 
 
+BREADTH_COUNTS = {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"}
+
+
 def seasonal(star) -> DataFrame:
     return (
-        sales(star, date=("Year", "Month", "MonthName", "Quarter"))
-        .groupBy("Year", "Month", "MonthName", "Quarter")
-        .agg(*_breadth())
+        aggregate(sales(star, date=("Year", "Month", "MonthName", "Quarter")),
+                  ["Year", "Month", "MonthName", "Quarter"], _breadth(), BREADTH_COUNTS)
         .withColumn("TotalRevenue", dbl("__revenue"))
         .drop("__revenue")
         .orderBy("Year", "Month")
@@ -288,8 +285,7 @@ def seasonal(star) -> DataFrame:
 
 def geographic(star, markets=None) -> DataFrame:
     return (
-        star.fact.groupBy("LocationKey")
-        .agg(*_breadth())
+        aggregate(star.fact, ["LocationKey"], _breadth(), BREADTH_COUNTS)
         .join(star.location.select("LocationKey", "Country", "Region", "Continent"), "LocationKey")
         .withColumn("TotalRevenue", dbl("__revenue"))
         .withColumn("MarketSegment", first_at_least(F.col("__revenue"), markets or config.MARKETS, config.MARKET_DEFAULT))

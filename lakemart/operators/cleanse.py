@@ -160,7 +160,18 @@ def with_customer_value(lines: DataFrame, steps=None) -> DataFrame:
     for threshold, label in reversed(steps):
         value = F.when(F.col("__spent") > threshold, F.lit(label)).otherwise(value)
     spent = lines.groupBy("CustomerID").agg(F.sum("TotalRevenue").alias("__spent"))
-    return lines.join(spent, "CustomerID").withColumn("CustomerSegment", value).drop("__spent")
+    # lines without a customer share one total: it comes as a scalar, and their join key is spread
+    unknown = F.col("CustomerID") == config.UNKNOWN
+    spread = F.concat(F.lit(config.UNKNOWN + "#"), F.pmod(F.xxhash64("InvoiceNo", "StockCode"), F.lit(4096)))
+    known = spent.where(~unknown).select(F.col("CustomerID").alias("__customer"), F.col("__spent").alias("__known"))
+    shared = spent.where(unknown).agg(F.max("__spent")).scalar()
+    return (
+        lines.withColumn("__customer", F.when(unknown, spread).otherwise(F.col("CustomerID")))
+        .join(known, "__customer", "left")
+        .withColumn("__spent", F.when(unknown, shared).otherwise(F.col("__known")))
+        .withColumn("CustomerSegment", value)
+        .drop("__spent", "__known", "__customer")
+    )
 
 
 def fact_validation(fact: DataFrame, big_quantity: int = 1000, big_price: float = 1000) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart import config
 from lakemart.functions.columns import dbl, mean_of, sample_std
+from lakemart.functions.ranks import exact_quantiles
 from lakemart.operators.kpi import known_only, sales
 
 
@@ -153,5 +154,17 @@ def standardized(df: DataFrame, columns: list[str], suffix: str = "_scaled") ->
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation and approximate quartiles per feature."""
-    return df.select(*columns).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+    """Count, mean, deviation, extremes and exact quartiles per feature, as numbers: one row per feature."""
+    out = None
+    for c in columns:
+        value = F.col(c).cast("double")
+        quartiles = exact_quantiles(df.select(value.alias("v")), "v", [0.25, 0.5, 0.75])
+        one = df.agg(
+            F.count(c).alias("count"), F.avg(value).alias("mean"), sample_std(c).alias("std"), F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        ).select(
+            F.lit(c).alias("feature"), "*",
+            *[quartiles.select(f"q{i}").scalar().alias(name) for i, name in enumerate(("q25", "q50", "q75"))],
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

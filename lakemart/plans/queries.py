@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,7 @@ def star(spark: SparkSession, sf_dir: str):
 @query
 def src_csv_roundtrip(spark, sf_dir):
     raw = open_warehouse(spark, sf_dir).raw
-    path = work_dir(spark, "csv_roundtrip")
+    path = work_dir(spark, f"csv_roundtrip-{uuid4().hex}")
     sinks.write_csv(raw, path)
     return plain(cleanse.typed_lines(files.read_sources(spark, path, "csv")))
 
@@ -208,14 +209,12 @@ def dim_product_basic(spark, sf_dir):
 
 @query
 def surrogate_keys(spark, sf_dir):
-    """Dense keys through the range path (a small sample forces it on small data)."""
     lines = open_warehouse(spark, sf_dir).lines
     people = lines.where(F.col("CustomerID") != config.UNKNOWN).select("CustomerID").distinct()
     goods = lines.select("StockCode").distinct()
-    options = {"sample_rows": 128, "ranges": 16}
-    return dense_key(people, "CustomerID", "surrogate_key", **options).select(
+    return dense_key(people, "CustomerID", "surrogate_key").select(
         F.lit("customer").alias("dimension"), F.col("CustomerID").alias("natural_key"), "surrogate_key"
-    ).unionByName(dense_key(goods, "StockCode", "surrogate_key", **options).select(
+    ).unionByName(dense_key(goods, "StockCode", "surrogate_key").select(
         F.lit("product").alias("dimension"), F.col("StockCode").alias("natural_key"), "surrogate_key"
     ))
 
@@ -310,7 +309,7 @@ def lineage_log(spark, sf_dir):
     """Record counts of the two load stages, observed while they are written."""
     w = open_warehouse(spark, sf_dir)
     log = lineage.Lineage(spark, RUN_ID)
-    path = work_dir(spark, "lineage")
+    path = work_dir(spark, f"lineage-{uuid4().hex}")
     lines = log.write(w.raw, "RawLines", lambda raw: cleanse.with_order_quantity(
         cleanse.clean_lines(cleanse.typed_lines(raw))), "CleanLines", f"{path}/lines", "Transform")
     log.write(lines, "CleanLines", lambda x: fact.lookup_keys(x, w.date, w.customer, w.product, w.location).na.drop(
@@ -460,7 +459,8 @@ def feat_churn(spark, sf_dir):
 
 @query
 def feat_invoice(spark, sf_dir):
-    return features.invoice_features(features.ml_sales(star(spark, sf_dir)))
+    found = features.invoice_features(features.ml_sales(star(spark, sf_dir)))
+    return rounded(found, "TotalRevenue_Std", "Quantity_Std", "UnitPrice_Std")
 
 
 @query
@@ -480,7 +480,8 @@ def ts_monthly(spark, sf_dir):
 
 @query
 def feat_describe(spark, sf_dir):
-    return features.describe(feat_segmentation(spark, sf_dir), config.SEGMENT_FEATURES)
+    table = _segment_features(spark, sf_dir)
+    return rounded(features.describe(table, config.SEGMENT_FEATURES), "mean", "std", "q25", "q50", "q75")
 
 
 # --- data quality ----------------------------------------------------------------------------------------
@@ -610,7 +611,7 @@ def dq_referential(spark, sf_dir):
 # --- profiling ---------------------------------------------------------------------------------------------
 @query
 def profile_numeric(spark, sf_dir):
-    return rounded(profile.profile_numeric(open_warehouse(spark, sf_dir).raw), "median_value")
+    return rounded(profile.profile_numeric(open_warehouse(spark, sf_dir).raw), "median_value", "std_value")
 
 
 @query
@@ -644,8 +645,8 @@ SEGMENT_NAMES = [
 
 
 def _written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A model input or result written next to the warehouse and read back."""
-    return sinks.write_table(build(), f"{open_warehouse(spark, sf_dir).root}/ml/{name}")
+    """A model input or result written to a folder of this call and read back."""
+    return sinks.write_table(build(), work_dir(spark, "ml", f"{name}-{uuid4().hex}"))
 
 
 def _segment_features(spark, sf_dir):
@@ -669,8 +670,8 @@ def model_roundtrip(spark, sf_dir):
     """A saved and loaded model against the one in memory: customers and differing segments."""
     table = _segment_features(spark, sf_dir)
     model = kmeans.train(table, restarts=2)
-    path = f"{open_warehouse(spark, sf_dir).root}/ml/kmeans_model"
-    model.write().overwrite().save(path)
+    path = work_dir(spark, "models", uuid4().hex)
+    model.write().save(path)
     again = PipelineModel.load(path)
     both = kmeans.predict(model, table).select("CustomerKey", "Segment").join(
         kmeans.predict(again, table).select("CustomerKey", F.col("Segment").alias("Loaded")), "CustomerKey"
@@ -687,7 +688,14 @@ def ml_churn(spark, sf_dir):
 @query
 def ml_churn_confusion(spark, sf_dir):
     table = _written(spark, sf_dir, "churn_confusion", lambda: feat_churn(spark, sf_dir))
-    return churn.classification_report(churn.train(table).confusion)
+    return churn.classification_report(churn.train(table, cross_validate=False).confusion)
+
+
+@query
+def ml_churn_metrics(spark, sf_dir):
+    """Accuracy, the five fold scores and the importance of every feature: (metric, name, value)."""
+    table = _written(spark, sf_dir, "churn_metrics", lambda: feat_churn(spark, sf_dir))
+    return churn.metrics(churn.train(table), spark)
 
 
 @query

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import spread
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,7 +26,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
     joined = (
-        spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))  # both large: shuffled, never broadcast
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))

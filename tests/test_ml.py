@@ -73,3 +73,45 @@ def test_holt_winters_follows_trend_and_season(spark):
     assert all(r["lower"] <= r["forecast"] <= r["upper"] for r in got)
     fits = forecast.fit_models(df).collect()
     assert {r["model"] for r in fits} == {"ARIMA", "HoltWinters"}
+
+
+def test_short_series_keep_a_row_per_model(spark):
+    rows = [("long", i, float(i % 7)) for i in range(40)] + [("twenty", i, float(i)) for i in range(20)] + [("two", i, 1.0) for i in range(2)]
+    df = spark.createDataFrame(rows, "series string, i int, value double").select(
+        "series", F.expr("date_add(DATE '2020-01-01', i)").alias("Date"), "value")
+    fits = {(r["series"], r["model"]): r["status"] for r in forecast.fit_models(df).collect()}
+    assert fits == {("long", "ARIMA"): "fitted", ("long", "HoltWinters"): "fitted", ("twenty", "ARIMA"): "fitted",
+                    ("twenty", "HoltWinters"): "too short", ("two", "ARIMA"): "too short", ("two", "HoltWinters"): "too short"}
+    ahead = forecast.forecast(df, 5).groupBy("series", "model", "status").count().collect()
+    assert {(r["series"], r["model"]): r["count"] for r in ahead if r["status"] == "too short"} == {
+        ("twenty", "HoltWinters"): 1, ("two", "ARIMA"): 1, ("two", "HoltWinters"): 1}
+    assert {r["count"] for r in ahead if r["status"] == "fitted"} == {5}
+
+
+def test_kmeans_trains_saves_and_loads(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(i, *map(float, rng.normal(10 * (i % 3), 0.1, 2))) for i in range(90)]
+    df = spark.createDataFrame(rows, "CustomerKey int, a double, b double")
+    model = kmeans.train(df, k=3, restarts=3, columns=["a", "b"])
+    got = {r["CustomerKey"]: r["Segment"] for r in kmeans.predict(model, df).collect()}
+    assert all(got[i] == got[i % 3] for i in got) and len(set(got.values())) == 3
+    from pyspark.ml import PipelineModel
+
+    model.save(str(tmp_path / "m"))
+    again = kmeans.predict(PipelineModel.load(str(tmp_path / "m")), df)
+    assert {r["CustomerKey"]: r["Segment"] for r in again.collect()} == got
+
+
+def test_churn_trains_and_reports(spark):
+    rows = [(i, *([float(i % 2)] * 12), i % 2) for i in range(200)]
+    from lakemart.operators.features import churn_columns
+
+    columns = churn_columns()
+    df = spark.createDataFrame(rows, "CustomerKey int, " + ", ".join(f"c{i} double" for i in range(12)) + ", IsChurned int")
+    df = df.select("CustomerKey", *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "IsChurned")
+    result = churn.train(df, trees=5)
+    assert result.accuracy == 1.0 and len(result.cv_scores) == 5
+    got = churn.predict(result.model, df).collect()
+    assert all(r["PredictedChurn"] == r["IsChurned"] for r in got) and {r["ChurnRisk"] for r in got} <= {"Low", "High", None}
+    report = churn.metrics(result, spark).groupBy("metric").count().collect()
+    assert {r["metric"]: r["count"] for r in report} == {"accuracy": 1, "cross_validation": 5, "importance": len(columns)}

@@ -1,4 +1,4 @@
-"""Ranks and quantiles against numpy, with the range path forced and with skew."""
+"""Ranks and quantiles against numpy, on few and many partitions and with skew."""
 
 import random
 
@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from lakemart.functions.ranks import dense_key, exact_quantiles, running_total
 
-SMALL = {"sample_rows": 32, "ranges": 7}
+SMALL = {"partitions": 7}
 
 
 @pytest.mark.parametrize("options", [{}, SMALL])
@@ -46,3 +46,28 @@ def test_quantile_with_one_value_holding_most_rows(spark):
     for g in "ab":
         mine = [v for i, v in enumerate(values) if v is not None and ("a" if i % 2 else "b") == g]
         assert got[g] == pytest.approx(tuple(np.quantile(mine, [0.25, 0.95])))
+
+
+def test_ranks_of_many_partitions_send_little_to_the_driver(spark):
+    limit = spark.conf.get("spark.driver.maxResultSize", "1g")
+    spark.conf.set("spark.driver.maxResultSize", "16m")
+    try:
+        df = spark.range(0, 300_000, 1, 400).selectExpr("concat('key', id * 7919 % 300000) AS k")
+        keyed = dense_key(df, "k", "id", partitions=400)
+        seen = keyed.selectExpr("count(*) AS n", "count(DISTINCT id) AS ids", "max(id) AS top").first()
+        assert tuple(seen) == (300_000, 300_000, 300_000)
+    finally:
+        spark.conf.set("spark.driver.maxResultSize", limit)
+
+
+def test_null_groups_are_ranked(spark):
+    df = spark.createDataFrame([(None, 2, 1), (None, 1, 1), ("a", 5, 1)], "g string, k int, w int")
+    got = {(r["g"], r["k"]): r["s"] for r in running_total(df, "k", "w", "s", ["g"]).collect()}
+    assert got == {(None, 1): 1, (None, 2): 2, ("a", 5): 1}
+
+
+def test_small_spread_around_a_large_mean(spark):
+    from lakemart.functions.columns import sample_std
+
+    df = spark.range(1000).selectExpr("1e9D + (id % 2) * 0.01D AS v")
+    assert df.agg(sample_std("v")).first()[0] == pytest.approx(0.0050025, rel=1e-3)
