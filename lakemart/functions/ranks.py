@@ -57,6 +57,17 @@ def dense_key(df: DataFrame, natural_key: str, out: str, **options) -> DataFrame
     return counted.withColumn(out, F.col("__key").cast("long")).drop("__one", "__key")
 
 
+def stable_key(df: DataFrame, natural_key: str, out: str, known: DataFrame | None = None) -> DataFrame:
+    """Dense keys; members of ``known`` (natural key, key) keep theirs and new ones follow the largest."""
+    if known is None:
+        return dense_key(df, natural_key, out)
+    held = known.select(natural_key, out)
+    old = df.join(held, natural_key)
+    new = dense_key(df.join(held.select(natural_key), natural_key, "left_anti"), natural_key, out)
+    top = held.agg(F.coalesce(F.max(out), F.lit(0).cast("long"))).scalar()
+    return old.unionByName(new.withColumn(out, F.col(out) + top))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
                     **options) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per group, columns q0, q1, ...

@@ -63,6 +63,22 @@ def _blank_product() -> Column:
     return (F.trim("StockCode") == "") | (F.trim("Description") == "")
 
 
+def counted_lines(typed: DataFrame, **limits) -> DataFrame:
+    """Every different line once, with the rule it breaks (or null) and its number of copies.
+
+    Written once, it is the source of the clean lines, the quarantine and the funnel.
+    """
+    return typed.withColumn("__reason", row_reject_reason(**limits)).groupBy(*typed.columns, "__reason").agg(
+        F.count(F.lit(1)).alias("__copies"))
+
+
+def clean_from(counted: DataFrame) -> DataFrame:
+    """The lines that survive every rule, from counted lines."""
+    revenue = (F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice")).cast("decimal(12,2)")
+    good = counted.where(F.col("__reason").isNull()).where(~_blank_product()).drop("__reason", "__copies")
+    return good.withColumn("TotalRevenue", revenue).where(F.col("TotalRevenue") > 0)
+
+
 def clean_lines(typed: DataFrame, **limits) -> DataFrame:
     """Lines that survive every rule, with TotalRevenue, duplicates removed.
 
@@ -81,10 +97,12 @@ def clean_lines(typed: DataFrame, **limits) -> DataFrame:
 
 def rejected_lines(typed: DataFrame, **limits) -> DataFrame:
     """Quarantine: each rejected row once with its reason and the number of copies rejected."""
-    reason = row_reject_reason(**limits)
-    counted = typed.withColumn("__reason", reason).groupBy(*typed.columns, "__reason").agg(
-        F.count(F.lit(1)).alias("__copies")
-    )
+    return rejected_from(counted_lines(typed, **limits))
+
+
+def rejected_from(counted: DataFrame) -> DataFrame:
+    """Quarantine from counted lines."""
+    columns = [c for c in counted.columns if c not in ("__reason", "__copies")]
     surplus = F.struct(F.lit("duplicates").alias("reject_reason"), (F.col("__copies") - 1).alias("copies"))
     empty = F.struct(F.lit("empty_product_info").alias("reject_reason"), F.lit(1).cast("bigint").alias("copies"))
     rule = F.struct(F.col("__reason").alias("reject_reason"), F.col("__copies").alias("copies"))
@@ -94,7 +112,7 @@ def rejected_lines(typed: DataFrame, **limits) -> DataFrame:
             lambda x: x.isNotNull(),
         )
     )
-    return counted.select(*typed.columns, F.explode(found).alias("r")).select(*typed.columns, "r.*")
+    return counted.select(*columns, F.explode(found).alias("r")).select(*columns, "r.*")
 
 
 def reject_funnel(typed: DataFrame, **limits) -> DataFrame:
@@ -110,6 +128,11 @@ def reject_funnel(typed: DataFrame, **limits) -> DataFrame:
         .groupBy("__reason", *keys)
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
+    return funnel_from(counted)
+
+
+def funnel_from(counted: DataFrame) -> DataFrame:
+    """The funnel from counted lines."""
     good = F.col("__reason").isNull()
     totals = counted.agg(
         F.sum("__copies").alias("initial_records"),

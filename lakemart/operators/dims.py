@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from lakemart import config
 from lakemart.functions.columns import keyword_class, mean_of, money, right_closed_bin, season
-from lakemart.functions.ranks import dense_key
+from lakemart.functions.ranks import dense_key, stable_key
 
 
-def _day_count_key(df: DataFrame, natural_key: str, out: str) -> DataFrame:
-    """Dense key for a calendar: one row per day, so a plain window is bounded."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(natural_key)).cast("long"))
+def _day_count_key(df: DataFrame, natural_key: str, out: str, known: DataFrame | None = None) -> DataFrame:
+    """Dense key for a calendar: one row per day, so a plain window is bounded. Known days keep their key."""
+    order = Window.orderBy(natural_key)
+    if known is None:
+        return df.withColumn(out, F.row_number().over(order).cast("long"))
+    held = known.select(natural_key, out)
+    new = df.join(held.select(natural_key), natural_key, "left_anti")
+    top = held.agg(F.coalesce(F.max(out), F.lit(0).cast("long"))).scalar()
+    return held.unionByName(new.withColumn(out, (F.row_number().over(order) + top).cast("long")))
 
 
-def dim_date(lines: DataFrame) -> DataFrame:
+def dim_date(lines: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per distinct invoice day with calendar and fiscal attributes.
 
     FiscalQuarter keeps the published rule (calendar quarter from April on, 4 in
@@ -24,7 +30,7 @@ def dim_date(lines: DataFrame) -> DataFrame:
     d = F.col("FullDate")
     month, year, weekend = F.month(d), F.year(d), F.weekday(d) >= 5
     days = lines.select(F.to_date("InvoiceDate").alias("FullDate")).where("FullDate IS NOT NULL").distinct()
-    return _day_count_key(days, "FullDate", "DateKey").select(
+    return _day_count_key(days, "FullDate", "DateKey", known).select(
         "DateKey",
         "FullDate",
         F.day(d).alias("Day"),
@@ -62,10 +68,11 @@ def geo_lookup(spark: SparkSession, countries: list[str] | None = None) -> DataF
     return spark.createDataFrame(rows, config.GEO_COLUMNS)
 
 
-def dim_location(lines: DataFrame, geo: DataFrame | None = None) -> DataFrame:
+def dim_location(lines: DataFrame, geo: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """One row per country with region, continent and currency where the lookup knows them."""
     geo = geo if geo is not None else geo_lookup(lines.sparkSession)
-    places = dense_key(lines.select("Country").where("Country IS NOT NULL").distinct(), "Country", "LocationKey")
+    places = stable_key(
+        lines.select("Country").where("Country IS NOT NULL").distinct(), "Country", "LocationKey", known)
     unknown = F.lit("Unknown")
     return places.join(geo, "Country", "left").select(
         "LocationKey",
@@ -110,16 +117,16 @@ def customer_metrics(lines: DataFrame) -> DataFrame:
 
 
 def dim_customer(lines: DataFrame, as_of: Column | None = None, monetary_bins=None, tier_bins=None,
-                 recency_bins=None, metrics: DataFrame | None = None) -> DataFrame:
+                 recency_bins=None, metrics: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """Customer dimension with recency/frequency/monetary bins and the unknown member (key 0).
 
     ``as_of`` defaults to the newest invoice day. ``metrics`` may pass an already
-    written result of ``customer_metrics``.
+    written result of ``customer_metrics``; members of ``known`` keep their keys.
     """
     metrics = metrics if metrics is not None else customer_metrics(lines)
     if as_of is None:
         as_of = lines.agg(F.to_date(F.max("InvoiceDate"))).scalar()
-    keyed = dense_key(metrics, "CustomerID", "CustomerKey")
+    keyed = stable_key(metrics, "CustomerID", "CustomerKey", known)
     recency = F.datediff(as_of, F.col("LastPurchaseDate"))
     profiled = keyed.withColumn("CustomerRecency", recency)
     recency_bin = right_closed_bin(F.col("CustomerRecency"), *(recency_bins or config.RECENCY_BINS))
@@ -220,7 +227,8 @@ def product_metrics(lines: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(lines: DataFrame, classes=None, metrics: DataFrame | None = None) -> DataFrame:
+def dim_product(lines: DataFrame, classes=None, metrics: DataFrame | None = None,
+                known: DataFrame | None = None) -> DataFrame:
     """Product dimension: sales profile, keyword classes, assumed cost and margin."""
     metrics = metrics if metrics is not None else product_metrics(lines)
     grade = keyword_class(
@@ -228,7 +236,7 @@ def dim_product(lines: DataFrame, classes=None, metrics: DataFrame | None = None
     )
     price, cost = F.col("AveragePrice"), F.col("AveragePrice") * config.COST_SHARE
     unknown, nothing = F.lit("Unknown"), F.lit(None)
-    keyed = dense_key(metrics, "StockCode", "ProductKey").withColumn("__class", grade)
+    keyed = stable_key(metrics, "StockCode", "ProductKey", known).withColumn("__class", grade)
     return keyed.select(
         "ProductKey",
         "StockCode",

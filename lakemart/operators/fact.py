@@ -47,8 +47,10 @@ def measures(keyed: DataFrame, run_id: str, loaded_at: Column, score: Column | N
     zero_money = F.lit(0).cast("decimal(10,2)")
     profit = (revenue - zero_money).cast("decimal(12,2)")
     margin = F.round(F.try_divide(profit * 100, revenue), 2).cast("decimal(5,2)")
+    key = ["SalesKey"] if "SalesKey" in keyed.columns else []
     return keyed.select(
         *FOREIGN_KEYS,
+        *key,
         "InvoiceNo",
         F.lit(1).alias("LineItemNo"),
         "Quantity",
@@ -74,6 +76,20 @@ def measures(keyed: DataFrame, run_id: str, loaded_at: Column, score: Column | N
     )
 
 
+def with_sales_key(lines: DataFrame, load: int = 0) -> DataFrame:
+    """A unique key per line of one load, from the line's place in the written table.
+
+    It is given on the scan, before any shuffle: a task that runs again reads the same
+    split and gives the same keys.
+    """
+    return lines.withColumn("SalesKey", F.lit(load).cast("long") * (1 << 50) + F.monotonically_increasing_id())
+
+
+def scored(unscored: DataFrame, score: DataFrame) -> DataFrame:
+    """The fact with the load's quality score."""
+    return unscored.withColumn("DataQualityScore", score.scalar().cast("decimal(3,2)"))
+
+
 def missing_keys(fact: DataFrame) -> DataFrame:
     """Rows without one of their foreign keys, per key and in total, in one aggregate."""
     any_missing = None

@@ -25,7 +25,8 @@ def completeness_rules(df: DataFrame, table: str, required: dict | None = None)
             f"Completeness_{c}", "completeness", F.col(c).isNull(),
             F.format_string(
                 f"Column {c} has %d null values (%.2f%% completeness)", F.col("records_failed"),
-                (F.col("records_checked") - F.col("records_failed")) * 100.0 / F.col("records_checked"),
+                F.coalesce(F.try_divide((F.col("records_checked") - F.col("records_failed")) * 100.0, F.col("records_checked")),
+                           F.lit(100.0)),
             ),
             True,
         )
@@ -147,7 +148,8 @@ def uniqueness(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
                 F.lit(f"Uniqueness_{key}").alias("check_name"), F.lit(table).alias("table_name"),
                 F.lit("uniqueness").alias("check_type"), F.lit("high").alias("severity"),
                 "records_checked", "records_failed",
-                (F.col("records_failed").cast("double") / F.col("records_checked")).alias("failure_rate"),
+                F.coalesce(F.try_divide(F.col("records_failed").cast("double"), F.col("records_checked")), F.lit(0.0))
+                .alias("failure_rate"),
                 F.format_string(f"Column {key} has %d duplicate values", F.col("records_failed")).alias("error_message"),
             )
         )
@@ -175,7 +177,8 @@ def referential(fact: DataFrame, dims: dict[str, DataFrame], keys: dict | None =
                 F.lit(f"Referential_Integrity_{key}").alias("check_name"), F.lit("FactSales").alias("table_name"),
                 F.lit("consistency").alias("check_type"), F.lit("critical").alias("severity"),
                 "records_checked", "records_failed",
-                (F.col("records_failed").cast("double") / F.col("records_checked")).alias("failure_rate"),
+                F.coalesce(F.try_divide(F.col("records_failed").cast("double"), F.col("records_checked")), F.lit(0.0))
+                .alias("failure_rate"),
                 F.format_string(f"Found %d orphaned {key} values in FactSales", F.col("records_failed"))
                 .alias("error_message"),
             )
@@ -202,8 +205,12 @@ def run_all_checks(df: DataFrame, table: str, key_columns: list[str] | None = No
     if dates:
         rules += date_rules(df)
     checks = evaluate(df, table, rules)
-    present = [k for k in key_columns or [] if k in df.columns]
-    return checks.unionByName(uniqueness(df, table, present)) if present else checks
+    if not key_columns:
+        return checks
+    lost = [k for k in key_columns if k not in df.columns]
+    if lost:
+        raise ValueError(f"{table} has no key column {', '.join(lost)}")
+    return checks.unionByName(uniqueness(df, table, key_columns))
 
 
 def timeliness(df: DataFrame, table: str, column: str, as_of: Column, max_age_days: int) -> DataFrame:

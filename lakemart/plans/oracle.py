@@ -685,6 +685,10 @@ SEGMENTATION = f"""
   FROM f WHERE CustomerKey <> 0 GROUP BY CustomerKey
 """
 SQL["feat_segmentation"] = _with(SEGMENTATION, "f")
+SQL["incr_load"] = _with(
+    "SELECT InvoiceNo, StockCode, CustomerID, Country, CAST(InvoiceDate AS DATE) AS FullDate, Quantity, "
+    "CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(TotalRevenue AS DOUBLE) AS TotalRevenue, OrderQuantity FROM lines", "lines"
+)
 SQL["feat_describe"] = _with(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
     f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +17,16 @@ from lakemart.sinks.tables import write_table
 from lakemart.sources import retail
 
 RUN_ID = "ETL_RUN"
+LOADED_AT = "2001-09-01 00:00:00"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a load needs besides the lines."""
+    """What a load needs besides the lines. Time and run id are fixed once, when the settings are made."""
 
     as_of: str | None = None
-    run_id: str = RUN_ID
-    loaded_at: str = "2001-09-01 00:00:00"
+    run_id: str = field(default_factory=lambda: f"ETL_{uuid4().hex}")
+    loaded_at: str = field(default_factory=lambda: datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     product_classes: list | None = None
     monetary_bins: tuple | None = None
     tier_bins: tuple | None = None
@@ -66,6 +69,14 @@ class Warehouse:
             self._tables[name] = write_table(build(), f"{self.root}/{name}", partition_by)
         return self._tables[name]
 
+    def keep(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """Write a table built elsewhere into this warehouse's folder and return it read back."""
+        return self._table(name, lambda: df, partition_by)
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Let a frame over written tables stand for a table from now on."""
+        self._tables[name] = df
+
     @property
     def raw(self) -> DataFrame:
         return self._table("raw", self._raw)
@@ -75,12 +86,19 @@ class Warehouse:
         return cleanse.typed_lines(self.raw)
 
     @property
-    def lines(self) -> DataFrame:
+    def counted(self) -> DataFrame:
+        """Different lines with reason and copies; one shuffle for clean lines, quarantine and funnel."""
         def build() -> DataFrame:
             # read the raw zone where it is written, else go straight from the source
             source = self._tables.get("raw")
-            typed = cleanse.typed_lines(source if source is not None else self._raw())
-            return cleanse.with_order_quantity(cleanse.clean_lines(typed))
+            return cleanse.counted_lines(cleanse.typed_lines(source if source is not None else self._raw()))
+
+        return self._table("counted", build)
+
+    @property
+    def lines(self) -> DataFrame:
+        def build() -> DataFrame:
+            return cleanse.with_order_quantity(cleanse.clean_from(self.counted))
 
         return self._table("lines", build)
 
@@ -122,16 +140,26 @@ class Warehouse:
         loaded_at = F.lit(s.loaded_at).cast("timestamp_ntz")
         keyed = (self.lines, self.date, self.customer, self.product, self.location, s.run_id, loaded_at)
         unscored = fact.fact_sales(*keyed)
-        checks = quality.run_all_checks(unscored, "FactSales", ["SalesKey"])
+        checks = quality.run_all_checks(unscored, "FactSales")
         return fact.fact_sales(*keyed, score=quality.quality_score(checks).scalar())
 
+    @property
+    def unscored(self) -> DataFrame:
+        """The fact without its score, written: checks read it, and the joins are planned once."""
+        s = self.settings
+        return self._table("fact_unscored", lambda: fact.fact_sales(
+            fact.with_sales_key(self.lines), self.date, self.customer, self.product, self.location, s.run_id,
+            F.lit(s.loaded_at).cast("timestamp_ntz")))
+
+    @property
+    def checks(self) -> DataFrame:
+        return self._table("fact_checks", lambda: quality.run_all_checks(self.unscored, "FactSales", ["SalesKey"]))
+
     @property
     def fact(self) -> DataFrame:
         return self._table(
-            "fact_sales",
-            lambda: self.assemble_fact().withColumn("SalesKey", F.monotonically_increasing_id()),
-            ["SaleYear", "SaleMonth"],
-        )
+            "fact_sales", lambda: fact.scored(self.unscored, quality.quality_score(self.checks)),
+            ["SaleYear", "SaleMonth"])
 
     def write(self, name: str) -> DataFrame:
         """Build and write one table by its attribute name."""
@@ -162,6 +190,8 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 # --- cut-offs for the driver's money scale, one literal per branch -----------
 DRIVER_SETTINGS = Settings(
     as_of="2001-09-01",
+    run_id=RUN_ID,
+    loaded_at=LOADED_AT,
     product_classes=[
         (["widget", "gizmo"], ("Bags", "Handbags", "Accessories")),
         (["anvil"], ("Clothing", "Tops", "Apparel")),

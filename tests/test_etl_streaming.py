@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakemart import config, schemas
 from lakemart.operators import aggregates, cleanse
 from lakemart.operators.lineage import Lineage
+from lakemart.plans import etl
 from lakemart.plans.etl import run_etl
 from lakemart.plans.warehouse import Settings
 from lakemart.sinks import tables as sinks
@@ -55,6 +56,87 @@ def test_incremental_load_takes_newer_lines_only(spark, generated, tmp_path):
     assert result.star.date.agg(F.min("FullDate")).first()[0] >= dt.date(2011, 6, 1)
 
 
+def _sold(star):
+    joined = star.fact.join(star.customer.select("CustomerKey", "CustomerID"), "CustomerKey").join(
+        star.product.select("ProductKey", "StockCode"), "ProductKey").join(star.date.select("DateKey", "FullDate"), "DateKey")
+    return sorted(map(str, joined.select("InvoiceNo", "StockCode", "CustomerID", "FullDate", "Quantity", "OrderQuantity").collect()))
+
+
+def test_incremental_load_keeps_history_and_keys(spark, tmp_path, monkeypatch):
+    raw = generate_lines(spark, 2000)
+    root, settings = str(tmp_path / "w"), Settings(as_of="2012-01-01")
+    first = etl.load(spark, raw.where("InvoiceDate < '2011-06-15'"), root, settings)
+    before = {r["CustomerID"]: r["CustomerKey"] for r in first.customer.collect()}
+    old_rows = first.fact.count()
+    second = etl.load(spark, raw, root, Settings(as_of="2012-01-01"), since="2011-06-15")
+    after = {r["CustomerID"]: r["CustomerKey"] for r in second.customer.collect()}
+    assert {k: after[k] for k in before} == before and len(set(after.values())) == len(after) > len(before)
+    assert second.fact.count() > old_rows
+    assert second.fact.select("SalesKey").distinct().count() == second.fact.count()
+    whole = etl.load(spark, raw, str(tmp_path / "x"), Settings(as_of="2012-01-01"))
+    assert _sold(second) == _sold(whole)
+    profile = ["CustomerID", "TotalOrders", "TotalRevenue", "CustomerSegment", "CustomerRecency"]
+    assert sorted(map(str, second.customer.select(*profile).collect())) == sorted(map(str, whole.customer.select(*profile).collect()))
+    # the same lines once more change nothing; a failing load leaves the star as it was
+    again = etl.load(spark, raw, root, Settings(as_of="2012-01-01"), since="2011-09-01")
+    assert _sold(again) == _sold(whole)
+    more = raw.unionByName(generate_lines(spark, 500, seed=7))
+
+    def fails(*_):
+        raise RuntimeError("late failure")
+
+    monkeypatch.setattr(etl.sinks, "load_summary", fails)
+    with pytest.raises(RuntimeError):
+        etl.load(spark, more, root, Settings(as_of="2012-01-01"), since="2011-01-01")
+    assert _sold(etl.open_star(spark, root)) == _sold(whole)
+    assert {r["kind"] for r in spark.read.parquet(f"{root}/loads").collect()} == {"full", "incremental"}
+
+
+def test_load_metadata_is_real(spark, tmp_path):
+    a, b = Settings(), Settings()
+    assert a.run_id != b.run_id
+    star = etl.load(spark, generate_lines(spark, 300), str(tmp_path / "w"))
+    seen = star.fact.agg(F.max("LoadTimestamp")).first()[0]
+    assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - seen).total_seconds()) < 600
+    with open(next((tmp_path / "w" / "runs").glob("*/profile_numeric/part-*"))) as rows:
+        assert "median_value" in rows.read()
+
+
+def test_files_are_matched_by_header_and_broken_lines_kept_aside(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                                  "1,A,thing,2,2011-01-05 10:00:00,2.50,17,France\n")
+    (folder / "b.csv").write_text("Country,StockCode,InvoiceNo,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,extra\n"
+                                  "Spain,B,2,other,3,2011-01-06 10:00:00,1.50,18,x\n"
+                                  "Spain,B,2\n")
+    lines = files.read_lines_csv(spark, str(folder), corrupt=etl.CORRUPT)
+    good = {r["InvoiceNo"]: r for r in lines.where(F.col(etl.CORRUPT).isNull()).collect()}
+    assert (good["1"]["StockCode"], good["1"]["Country"]) == ("A", "France")
+    assert (good["2"]["StockCode"], good["2"]["Country"]) == ("B", "Spain")
+    assert [r[etl.CORRUPT] for r in lines.collect() if r[etl.CORRUPT]] == ["Spain,B,2"]
+    result = run_etl(spark, str(folder), str(tmp_path / "w"))
+    assert result.status == "success" and result.rows == 2
+    unreadable = list((tmp_path / "w" / "runs").glob("*/unreadable_lines"))
+    assert spark.read.parquet(str(unreadable[0])).count() == 1
+
+
+def test_catalog_tables_and_load_guard(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS guard")
+    schemas.create_tables(spark, "guard")
+    assert not sinks.already_loaded(spark, "guard.DimCustomer") and not sinks.already_loaded(spark, "guard.nothing")
+    df = spark.createDataFrame([(1, "x", "FR", 5)], "CustomerKey long, CustomerID string, Country string, extra int")
+    sinks.save_table(df, "guard", "DimCustomer")
+    assert sinks.already_loaded(spark, "guard.DimCustomer") and "extra" not in spark.table("guard.DimCustomer").columns
+    spark.sql("DROP DATABASE guard CASCADE")
+
+
+def test_reports_are_only_cut_on_request(spark):
+    from lakemart.operators.kpi import at_most
+
+    assert at_most(spark.range(20_000)).count() == 20_000 and at_most(spark.range(50), 7).count() == 7
+
+
 def test_missing_source_reports_failure(spark, tmp_path):
     result = run_etl(spark, str(tmp_path / "nowhere.csv"), str(tmp_path / "w"))
     assert result.status == "failed" and result.error
