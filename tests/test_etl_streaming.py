@@ -209,3 +209,16 @@ def test_gate_puts_bad_batches_aside(spark, tmp_path):
     got = {r["outcome"]: r["count"] for r in out.groupBy("outcome").count().collect()}
     assert got == {"loaded": 400, "quarantined": 400}
     assert out.where("outcome = 'quarantined' AND Country IS NOT NULL").isEmpty()
+
+
+def test_update_mode_drops_state_behind_the_watermark(spark, tmp_path):
+    path = str(tmp_path / "events")
+    for day in (1, 12, 23):
+        spark.range(48).selectExpr(f"TIMESTAMP_NTZ '2020-01-{day:02d} 00:00:00' + make_dt_interval(0, cast(id AS int)) AS ts",
+                                   "1.5D AS value").coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.read_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    progress: list = []
+    table = jobs.drain_upsert(jobs.windowed(stream, "ts", "value"), "state", ["window_start", "window_end"], progress)
+    assert table.count() == 3 * 48 and {r["events"] for r in table.collect()} == {1}
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(kept) <= 2 * 48 + 2 and kept[-1] < 48
