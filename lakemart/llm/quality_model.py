@@ -1,6 +1,6 @@
 """Quality classifier: random-indexing word vectors, pooled per document, into a small calibrated network.
 
-1. Every token gets a sparse random index vector from its digest. A token's context
+1. Every token (a run of letters, digits or symbols) gets a sparse random index vector from its digest. A token's context
    vector is the sum of the index vectors of its neighbours in all texts, so it is
    gathered over the whole corpus: each task adds up its own table, the tables are
    summed by row. Tokens share a table of BUCKETS rows by digest, which bounds it
@@ -24,12 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import staged
-from lakemart.llm.kernels import mixed, stream
+from lakemart.llm.kernels import LOWER, SPACES, Digests, blocks, mixed, stream
 
 BUCKETS = 1 << 14
 WIDTH = 48
@@ -41,37 +40,37 @@ HIDDEN = 32
 EPOCHS = 60
 CALIBRATION = 5           # one labelled row in so many sets the temperature
 THRESHOLD = 0.3
-KNOWN_TOKENS = 400_000
 SHARES = 8
 _U = np.uint64
 
-TOKEN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+")
+# kinds of bytes: white space, letters (and all of other alphabets), digits, symbols
+SPACE_KIND, LETTER, DIGIT, SYMBOL = range(4)
+KIND = np.full(256, SYMBOL, dtype=np.uint8)
+KIND[128:] = LETTER
+KIND[np.arange(65, 91)] = KIND[np.arange(97, 123)] = LETTER
+KIND[48:58] = DIGIT
+KIND[SPACES] = SPACE_KIND
 
 
 def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-class Tokens:
-    """Table rows of tokens, remembered per worker up to a bound."""
-
-    def __init__(self):
-        self.known: dict[str, int] = {}
-
-    def __missing(self, token: str) -> int:
-        data = np.frombuffer(token.encode("utf-8"), dtype=np.uint8)[:64].astype(_U)
-        value = int(mixed(np.array([np.bitwise_xor.reduce(mixed(data + (np.arange(len(data), dtype=_U) << _U(9))))]))[0])
-        if len(self.known) >= KNOWN_TOKENS:
-            self.known.clear()
-        row = self.known[token] = value % BUCKETS
-        return row
-
-    def rows(self, tokens: list[str]) -> np.ndarray:
-        known = self.known
-        return np.fromiter([known[t] if t in known else self.__missing(t) for t in tokens], np.int64, len(tokens))
-
-
-_tokens = Tokens()
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(table row, text row) of every token of a block: a run of letters, of digits or of symbols, in lower case."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    kind = KIND[data]
+    edge = np.ones(n + 1, dtype=bool)
+    edge[1:n] = kind[1:] != kind[:-1]
+    edge[offsets] = True
+    bounds = np.flatnonzero(edge)
+    starts, ends = bounds[:-1], bounds[1:]
+    solid = kind[starts] != SPACE_KIND
+    starts, ends = starts[solid], ends[solid]
+    digests = Digests(LOWER[data]).of(starts, ends)
+    return (digests % _U(BUCKETS)).astype(np.int64), np.searchsorted(offsets, starts, "right") - 1
 
 
 def index_entries() -> tuple[np.ndarray, np.ndarray]:
@@ -80,39 +79,29 @@ def index_entries() -> tuple[np.ndarray, np.ndarray]:
     return (draws % _U(WIDTH)).astype(np.int64), np.where(draws >> _U(63), 1.0, -1.0)
 
 
-def _tokenized(text: str | None) -> np.ndarray:
-    return _tokens.rows(TOKEN.findall(text.lower())) if text else np.zeros(0, dtype=np.int64)
-
-
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per bucket that occurs in this task: its count and summed context."""
     places, signs = index_entries()
     sums, counts = np.zeros(BUCKETS * WIDTH), np.zeros(BUCKETS, dtype=np.int64)
 
     def add(ids: np.ndarray, owner: np.ndarray) -> None:
-        nonlocal sums, counts
+        nonlocal counts
         counts += np.bincount(ids, minlength=BUCKETS)
+        cells, weights = [], []
         for gap in range(1, REACH + 1):
             near = owner[:-gap] == owner[gap:]
             a, b = ids[:-gap][near], ids[gap:][near]
             for here, there in ((a, b), (b, a)):
                 for k in range(NONZERO):
-                    sums += np.bincount(here * WIDTH + places[there, k], weights=signs[there, k],
-                                        minlength=BUCKETS * WIDTH)
+                    cells.append(here * WIDTH + places[there, k])
+                    weights.append(signs[there, k])
+        np.add(sums, np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=BUCKETS * WIDTH), out=sums)
 
-    held, owners, size, row = [], [], 0, 0
     for batch in batches:
-        for text in batch.column("text"):
-            ids = _tokenized(text.as_py())
-            row += 1
-            held.append(ids)
-            owners.append(np.full(len(ids), row))
-            size += len(ids)
-            if size > 2_000_000:
-                add(np.concatenate(held), np.concatenate(owners))
-                held, owners, size = [], [], 0
-    if held:
-        add(np.concatenate(held), np.concatenate(owners))
+        for _, _, data, offsets in blocks(batch.column("text")):
+            ids, owner = tokens(data, offsets)
+            if len(ids):
+                add(ids, owner)
     used = np.flatnonzero(counts)
     vectors = sums.reshape(BUCKETS, WIDTH)[used]
     yield pa.RecordBatch.from_arrays([
@@ -139,22 +128,37 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return table
 
 
-def features(text: str | None, table: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """Pooled vectors and shares of one text."""
-    out = np.zeros(2 * WIDTH + SHARES, dtype=np.float32)
-    ids = _tokenized(text)
+def features(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, places: np.ndarray,
+             signs: np.ndarray) -> np.ndarray:
+    """Pooled vectors and shares of the texts of a block: one row each."""
+    rows = len(offsets) - 1
+    out = np.zeros((rows, 2 * WIDTH + SHARES), dtype=np.float32)
+    ids, owner = tokens(data, offsets)
     if not len(ids):
         return out
+    cuts = np.searchsorted(owner, np.arange(rows + 1))
+    many = np.diff(cuts)
+    full = np.flatnonzero(many)
     weight = table[ids, WIDTH]
-    out[:WIDTH] = weight @ table[ids, :WIDTH] / weight.sum()
-    out[WIDTH:2 * WIDTH] = np.bincount(places[ids].ravel(), weights=signs[ids].ravel(), minlength=WIDTH) / len(ids)
-    n = len(text)
-    capitals = sum(map(str.isupper, text))
-    letters = sum(map(str.isalpha, text))
-    lines = text.split("\n")
-    out[2 * WIDTH:] = (
-        np.log1p(len(ids)) / 10, len(np.unique(ids)) / len(ids), capitals / n, letters / n,
-        text.count("|") / n * 10, (n - letters - text.count(" ")) / n, len(set(lines)) / len(lines), letters / len(ids) / 10)
+    sums = np.add.reduceat(table[ids, :WIDTH] * weight[:, None], cuts[full], axis=0)
+    out[full, :WIDTH] = sums / np.add.reduceat(weight, cuts[full])[:, None]
+    own = np.zeros(rows * WIDTH)
+    for k in range(NONZERO):
+        own += np.bincount(owner * WIDTH + places[ids, k], weights=signs[ids, k], minlength=rows * WIDTH)
+    out[full, WIDTH:2 * WIDTH] = own.reshape(rows, WIDTH)[full] / many[full, None]
+    lengths = np.diff(offsets)
+
+    def counted(mask: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+        return (sums[offsets[1:]] - sums[offsets[:-1]])[full]
+
+    kind, n = KIND[data], lengths[full]
+    letters, capitals, symbols = counted(kind == LETTER), counted((data > 64) & (data < 91)), counted(kind >= DIGIT)
+    distinct = np.array([len(np.unique(ids[cuts[i]:cuts[i + 1]])) for i in full])
+    lines = [data[offsets[i]:offsets[i + 1]].tobytes().split(b"\n") for i in full]
+    out[full, 2 * WIDTH:] = np.stack([
+        np.log1p(many[full]) / 10, distinct / many[full], capitals / n, letters / n, counted(data == 124) / n * 10,
+        symbols / n, [len(set(x)) / len(x) for x in lines], letters / many[full] / 10], axis=1)
     return out
 
 
@@ -225,9 +229,9 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t.as_py(), *shared.value) for t in batch.column("text")]
-            values = np.concatenate(rows) if rows else np.zeros(0, dtype=np.float32)
-            bounds = np.arange(len(rows) + 1, dtype=np.int32) * (2 * WIDTH + SHARES)
+            parts = [features(data, offsets, *shared.value).ravel() for _, _, data, offsets in blocks(batch.column("text"))]
+            values = np.concatenate(parts) if parts else np.zeros(0, dtype=np.float32)
+            bounds = np.arange(batch.num_rows + 1, dtype=np.int32) * (2 * WIDTH + SHARES)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(bounds, pa.array(values, pa.float32()))],
                 names=["doc_id", "x"])
