@@ -55,3 +55,33 @@ r AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept
 FROM b JOIN r ON b.source IS NOT DISTINCT FROM r.source
 """
+
+SQL["op8_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31) + 1, 1)
+         for i in range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+SQL["op9_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS grams
+  FROM d),
+s AS (SELECT doc_id, unnest(grams) AS gram FROM g),
+n AS (SELECT doc_id, len(grams)::BIGINT AS n_shingles FROM g),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+      WHERE 100 * c >= 75 * (a.n_shingles + b.n_shingles - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
+SELECT n.doc_id, n_shingles, min(b)::BIGINT AS component_id FROM n JOIN r ON n.doc_id = r.a GROUP BY ALL
+"""
