@@ -131,6 +131,17 @@ def classification_report(confusion: DataFrame) -> DataFrame:
     return joined.select("label", "precision", "recall", f1.alias("f1"), "support", accuracy.alias("accuracy"))
 
 
+def save(result: ChurnResult, spark: SparkSession, path: str) -> None:
+    """The fitted pipeline, its metrics and its confusion counts below one folder."""
+    result.model.write().save(f"{path}/model")
+    metrics(result, spark).write.parquet(f"{path}/metrics")
+    result.confusion.write.parquet(f"{path}/confusion")
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(f"{path}/model")
+
+
 def metrics(result: ChurnResult, spark: SparkSession) -> DataFrame:
     """Everything a training says about itself: (metric, name, value)."""
     rows = [("accuracy", "test fold", float(result.accuracy))]

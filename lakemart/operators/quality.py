@@ -13,6 +13,7 @@ CHECK_COLUMNS = [
 ]
 
 
+# Check names and messages below are fixed values: reports and logs are read by them.
 def _check(name: str, kind: str, failed: Column, message: Column, always: bool) -> dict:
     return {"name": name, "kind": kind, "failed": failed, "message": message, "always": always}
 

@@ -102,7 +102,22 @@ def test_kmeans_trains_saves_and_loads(spark, tmp_path):
     assert {r["CustomerKey"]: r["Segment"] for r in again.collect()} == got
 
 
-def test_churn_trains_and_reports(spark):
+def test_runner_keeps_results_and_whole_errors(spark, tmp_path):
+    from lakemart.ml import runner
+
+    def fails():
+        raise ValueError("x" * 900)
+
+    status = {r["analysis"]: r for r in runner.run_all(
+        spark, spark.range(10), {"good": lambda: spark.range(7), "bad": fails}, least=5, results=str(tmp_path / "r")).collect()}
+    assert (status["good"]["status"], status["good"]["records"]) == ("completed", 7)
+    assert spark.read.parquet(str(tmp_path / "r" / "good")).count() == 7
+    assert status["bad"]["status"] == "failed" and status["bad"]["message"] == "x" * 900
+    skipped = runner.run_all(spark, spark.range(3), {"good": lambda: spark.range(7)}, least=5).first()
+    assert skipped["status"] == "skipped"
+
+
+def test_churn_trains_and_reports(spark, tmp_path):
     rows = [(i, *([float(i % 2)] * 12), i % 2) for i in range(200)]
     from lakemart.operators.features import churn_columns
 
@@ -113,5 +128,9 @@ def test_churn_trains_and_reports(spark):
     assert result.accuracy == 1.0 and len(result.cv_scores) == 5
     got = churn.predict(result.model, df).collect()
     assert all(r["PredictedChurn"] == r["IsChurned"] for r in got) and {r["ChurnRisk"] for r in got} <= {"Low", "High", None}
+    churn.save(result, spark, str(tmp_path / "churn"))
+    again = churn.predict(churn.load(str(tmp_path / "churn")), df)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+    assert spark.read.parquet(str(tmp_path / "churn" / "metrics")).count() == 6 + len(columns)
     report = churn.metrics(result, spark).groupBy("metric").count().collect()
     assert {r["metric"]: r["count"] for r in report} == {"accuracy": 1, "cross_validation": 5, "importance": len(columns)}
