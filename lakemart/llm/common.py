@@ -40,7 +40,7 @@ def release(spark: SparkSession) -> None:
 
 def words(text: Column) -> Column:
     """Array of the words of a text; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def word_count(text: Column) -> Column:

@@ -37,7 +37,9 @@ ANY = "<*>"
 
 
 def masked(line: Column) -> Column:
-    return F.transform(words(line), lambda w: F.when(w.rlike("[0-9]"), F.lit(ANY)).otherwise(w))
+    plain = words(line)
+    return F.when(line.rlike("[0-9]"), F.transform(
+        plain, lambda w: F.when(w.rlike("[0-9]"), F.lit(ANY)).otherwise(w))).otherwise(plain)
 
 
 def leaf(tokens: Column, leading: int) -> Column:
@@ -160,7 +162,8 @@ def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = Tru
     """
     gone = dropped_lines(docs.select("doc_id", "text"), min_docs).select(
         F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("spots").alias("__spots"))
-    rows = docs.select(F.struct(*docs.columns).alias("__doc"), "doc_id", "text")
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("__doc"), "doc_id", "text")
     joined = rows.join(
         gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__tie")), "left")
     cut = joined.withColumn("__lines", F.split("text", "\n"))
