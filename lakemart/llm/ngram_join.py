@@ -5,10 +5,12 @@
    others by digest. Two similar sets share a shingle among the first quarter of both
    (prefix filter), so nodes meet by those shingles only and common passages bring
    nobody together. The order affects work, never the result.
-3. Nodes that meet their group's leader often enough to be similar are compared with it
-   exactly; components of these links replace the pairs inside large groups of copies.
-4. What is left meets in tiles: a shingle's nodes by size band (sizes in a ratio of at
-   least the similarity lie in the same or the next band), large tiles in blocks.
+3. A shingle's leader is its node most of whose leading shingles are shared: the text
+   that copies come from. A node's home is the leader that it meets most often. The sets
+   of a home come together once, in blocks, and all their pairs are compared but those
+   already connected: components replace pairs inside large groups of copies.
+4. What links nodes of different components meets in tiles: a shingle's nodes, where these are many by size band
+   (sizes in a ratio of at least the similarity lie in the same or the next band) and blocks.
    Hashed bitmaps bound the overlap from above by bit counts; pairs of one component
    are skipped. First the best pair of every two components is compared, then every
    other pair that is still open.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import staged
+from lakemart.llm.common import release, staged
 from lakemart.llm.components import components
 from lakemart.llm.kernels import LOWER, Digests, blocks, mixed, word_spans
 
@@ -43,6 +45,8 @@ HEAVY_SHARE = 500          # a chunk's shingle in one of so many of its document
 HEAVY_LEAST = 8
 CHUNK_SHINGLES = 1 << 21
 BLOCK_ROWS = 2048          # nodes of a tile that meet in one task
+BITS = 4                   # bits of a bitmap per shingle
+HOME_SHARE = 10            # a home shares at least one in so many of a node's leading shingles
 TILE_UNIT = 1 << 16        # rows handled at once
 _U = np.uint64
 _CHAIN = _U(0x9FB21C651E98DF25)
@@ -86,6 +90,19 @@ def row_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield np.unique(digests[cuts[i]:cuts[i + 1]])
 
 
+def bitmap_words(n: np.ndarray) -> np.ndarray:
+    """64-bit words of a set's bitmap: about BITS bits for every shingle, a power of two."""
+    return 2 ** np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) * BITS / 64)).astype(np.int64))
+
+
+def bitmap(found: np.ndarray) -> bytes:
+    """One bit per shingle, chosen by the digest's low bits."""
+    width = int(bitmap_words(np.array([len(found)]))[0]) * 64
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(found & _U(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def required(a, b):
     """Least overlap of two sets of the given sizes that makes them similar."""
     return -(-TOP * (a + b) // (TOP + BOTTOM))
@@ -128,16 +145,17 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, d1, d2, prefix): size, 128-bit digest and leading shingles of every row's set."""
+    """(doc_id, n, d1, d2, prefix, bits): size, 128-bit digest, leading shingles and bitmap of every row's set."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
         for batch in batches:
-            sizes, first, second, prefixes = [], [], [], []
+            sizes, first, second, prefixes, bits = [], [], [], [], []
             for found in row_sets(batch.column("text")):
                 n = len(found)
                 sizes.append(n)
+                bits.append(bitmap(found))
                 first.append(np.add.reduce(mixed(found ^ _U(0x51ED270B)), dtype=_U))
                 second.append(np.add.reduce(mixed(found + _U(0x2545F4914F6CDD1D)), dtype=_U))
                 if n and len(heavy):
@@ -151,24 +169,26 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sizes, pa.int32()),
                 pa.array(np.array(first, dtype=_U).view(np.int64)), pa.array(np.array(second, dtype=_U).view(np.int64)),
-                pa.ListArray.from_arrays(bounds, pa.array(values.view(np.int64))),
-            ], names=["doc_id", "n", "d1", "d2", "prefix"])
+                pa.ListArray.from_arrays(bounds, pa.array(values.view(np.int64))), pa.array(bits, pa.binary()),
+            ], names=["doc_id", "n", "d1", "d2", "prefix", "bits"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        rows, "doc_id long, n int, d1 long, d2 long, prefix array<long>")
+        rows, "doc_id long, n int, d1 long, d2 long, prefix array<long>, bits binary")
 
 
 def sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, items): the sorted digests, as bytes, of the given nodes."""
+    """The rows of ``nodes`` (node, ...) with items: the sorted digests of the node's text, as bytes."""
+    kept = nodes.columns
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items = [found.tobytes() for found in row_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(items, pa.binary())], names=["node", "items"])
+                [*(batch.column(c) for c in kept), pa.array(items, pa.binary())], names=[*kept, "items"])
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    return chosen.mapInArrow(rows, "node long, items binary")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node").select(*kept, "text")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema.fields)
+    return chosen.mapInArrow(rows, f"{schema}, items binary")
 
 
 # --- meeting by shingles ------------------------------------------------------------
@@ -179,9 +199,9 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of shingles with two nodes or more, with the group's least node; input sorted by key and node."""
-    names = ["key", "node", "n", "leader", "leader_n"]
-    last, leader, shown = None, None, False   # the last row, its group's leader, whether the row went out
+    """Rows of shingles with two nodes or more; input sorted by key."""
+    names = ["key", "node", "n"]
+    last, shown = None, False   # the last row and whether it went out
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -189,34 +209,12 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None:
             key, node, n = (np.concatenate([[c], x]) for c, x in zip(last, (key, node, n)))
         starts, lengths = _runs(key)
-        first = np.repeat(starts, lengths)
-        lead, lead_n = node[first], n[first]
         keep = np.repeat(lengths > 1, lengths)
         if last is not None:
-            lead[:lengths[0]], lead_n[:lengths[0]] = leader
             keep[0] = keep[0] and not shown
-        last, leader, shown = (key[-1], node[-1], n[-1]), (lead[-1], lead_n[-1]), bool(lengths[-1] > 1)
+        last, shown = (key[-1], node[-1], n[-1]), bool(lengths[-1] > 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (key, node, n.astype(np.int32), lead, lead_n.astype(np.int32))], names=names)
-
-
-def bitmap_words(n: np.ndarray) -> np.ndarray:
-    """64-bit words of a set's bitmap: about one bit for every shingle, a power of two."""
-    return 2 ** np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / 64)).astype(np.int64))
-
-
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out, sizes = [], []
-        for items in batch.column("items").to_pylist():
-            found = np.frombuffer(items, dtype=_U)
-            width = int(bitmap_words(np.array([len(found)]))[0]) * 64
-            bits = np.zeros(width, dtype=np.uint8)
-            bits[(found & _U(width - 1)).astype(np.int64)] = 1
-            out.append(np.packbits(bits, bitorder="little").tobytes())
-            sizes.append(len(found))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(out, pa.binary())], names=["node", "bits"])
+            [pa.array(x[keep]) for x in (key, node, n.astype(np.int32))], names=names)
 
 
 def _matrix(bits: list[bytes], words: int) -> np.ndarray:
@@ -228,94 +226,118 @@ def _matrix(bits: list[bytes], words: int) -> np.ndarray:
     return out
 
 
-def _tile_pairs(tile: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarray, home: np.ndarray,
-                bits: list[bytes]) -> list[tuple]:
-    """Pairs (a, b, comp_a, comp_b, bound) of whole tiles that may be similar; rows sorted by tile."""
-    starts, lengths = _runs(tile)
-    least = np.minimum.reduceat(bitmap_words(n), starts)
+def _tile_pairs(tile: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarray, own_band: np.ndarray,
+                home: np.ndarray, housed: np.ndarray, bits: list[bytes]) -> list[tuple]:
+    """Pairs (a, b, comp_a, comp_b, bound) of whole tiles that may be similar; rows sorted by tile and size.
+
+    Similar sets differ by one bitmap width at most, so each width meets itself and the next.
+    """
+    width = bitmap_words(n)
     found = []
-    for words in np.unique(least):
-        rows = np.flatnonzero(np.repeat(least == words, lengths))
+    for words in np.unique(width):
+        rows = np.flatnonzero((width == words) | (width == 2 * words))
         maps = _matrix([bits[i] for i in rows], int(words))
-        t, size, part, own = tile[rows], n[rows].astype(np.int64), comp[rows], home[rows]
-        left = np.arange(len(rows))
-        for gap in range(1, int(lengths.max())):
+        filled = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        t, size, part, own = tile[rows], n[rows].astype(np.int64), comp[rows], own_band[rows]
+        place, has, narrow = home[rows], housed[rows], width[rows] == words
+        left, gap = np.arange(len(rows)), 0
+        while len(left):
+            gap += 1
             left = left[left + gap < len(rows)]
-            left = left[t[left] == t[left + gap]]
-            if not len(left):
-                break
+            # sizes ascend within a tile: once a partner is too large, all later ones are
+            left = left[(t[left] == t[left + gap]) & (BOTTOM * size[left] >= TOP * size[left + gap])]
             right = left + gap
-            low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-            go = (part[left] != part[right]) & (own[left] | own[right]) & (BOTTOM * low >= TOP * high)
+            go = (part[left] != part[right]) & (own[left] | own[right]) & (narrow[left] | narrow[right])
+            go &= ~((place[left] == place[right]) & has[left] & has[right])
             a, b = left[go], right[go]
             if not len(a):
                 continue
             need = required(size[a], size[b])
-            bound = np.minimum(
-                size[a] - np.bitwise_count(maps[a] & ~maps[b]).sum(axis=1, dtype=np.int64),
-                size[b] - np.bitwise_count(maps[b] & ~maps[a]).sum(axis=1, dtype=np.int64))
+            shared = np.bitwise_count(maps[a] & maps[b]).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(size[a] - (filled[a] - shared), size[b] - (filled[b] - shared))
             ok = bound >= need
+            if not ok.any():
+                continue
             a, b = rows[a[ok]], rows[b[ok]]
             found.append((node[a], node[b], comp[a], comp[b], bound[ok] / (n[a] + n[b] - bound[ok])))
     return found
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of tiles; input sorted by tile, a tile may span batches."""
+def _tiles(best_only: bool):
+    """Function for candidate pairs of tiles (of two components the best); input sorted by tile, which may span batches."""
     names = ["a", "b", "comp_a", "comp_b", "bound"]
-    held: list[pa.RecordBatch] = []
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
-        columns = [rows.column(c).to_numpy() for c in ("tile", "node", "n", "comp", "home")]
+        columns = [rows.column(c).to_numpy() for c in (
+            "tile", "node", "n", "comp", "own_band", "home", "housed")]
         found = _tile_pairs(*columns, rows.column("bits").to_pylist())
         if not found:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names=names)
         a, b, ca, cb, bound = (np.concatenate(x) for x in zip(*found))
         swap = ca > cb
         a[swap], b[swap], ca[swap], cb[swap] = b[swap], a[swap], cb[swap], ca[swap]
-        _, once = np.unique(np.stack([a, b]), axis=1, return_index=True)
+        if best_only:
+            order = np.lexsort((b, a, -bound, cb, ca))
+            first = np.concatenate([[True], (ca[order][1:] != ca[order][:-1]) | (cb[order][1:] != cb[order][:-1])])
+            once = order[first]
+        else:
+            _, once = np.unique(np.stack([a, b]), axis=1, return_index=True)
         return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (a, b, ca, cb, bound)], names=names)
 
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) < TILE_UNIT:
-            continue
-        rows = pa.Table.from_batches(held)
-        tile = rows.column("tile").to_numpy()
-        cut = int(np.searchsorted(tile, tile[-1]))   # the last tile may go on
-        if cut:
-            yield pairs(rows.slice(0, cut))
-        held = rows.slice(cut).combine_chunks().to_batches()
-    if held:
-        rows = pa.Table.from_batches(held)
-        if rows.num_rows:
-            yield pairs(rows)
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < TILE_UNIT:
+                continue
+            rows = pa.Table.from_batches(held)
+            tile = rows.column("tile").to_numpy()
+            cut = int(np.searchsorted(tile, tile[-1]))   # the last tile may go on
+            if cut:
+                yield pairs(rows.slice(0, cut))
+            held = rows.slice(cut).combine_chunks().to_batches()
+        if held:
+            rows = pa.Table.from_batches(held)
+            if rows.num_rows:
+                yield pairs(rows)
+
+    return tiles
+
 
+def candidates(met: DataFrame, labels: DataFrame, placed: DataFrame, bits: DataFrame, best_only: bool) -> DataFrame:
+    """Pairs of different components that may be similar, from shingles that two components share.
 
-def candidates(met: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of different components that may be similar, from shingles that two components share."""
-    labeled = met.select("key", "node", "n").join(labels, "node", "left").withColumn(
+    Pairs of one home have been compared and are left out.
+    """
+    known = placed.select("node", "home").join(labels, "node", "full").select(
+        "node", "home", F.col("component"))
+    labeled = met.select("key", "node", "n").join(known, "node", "left").withColumn(
         "comp", F.coalesce("component", "node")).drop("component")
+    groups = labeled.groupBy("key").agg(
+        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"),
+        F.count(F.lit(1)).alias("rows"), F.count("home").alias("housed"))
+    mixed_homes = (F.col("housed") < F.col("rows")) | (F.col("h0") != F.col("h1"))
+    open_keys = groups.where(F.col("c0") != F.col("c1")).where(mixed_homes).select("key", "rows")
+    open_rows = labeled.join(open_keys, "key")
     # 4/3 is the largest ratio of sizes, so a band and the one before hold every partner
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(BOTTOM / TOP) + 1e-9).cast("int")
-    banded = labeled.withColumn("band", band).withColumn("at", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    groups = banded.groupBy("key", "at").agg(
-        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("rows"),
-        F.max(F.col("band") == F.col("at")).alias("any_home"))
-    open_groups = groups.where("c0 != c1 AND any_home").select("key", "at", "rows")
-    tiled = banded.join(open_groups, ["key", "at"])
-    # a large tile is cut into blocks, and every two blocks meet
-    count = F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")
+    small = F.col("rows") <= BLOCK_ROWS
+    banded = open_rows.withColumn("band", F.when(small, F.lit(0)).otherwise(band)).withColumn("at", F.explode(
+        F.when(small, F.array(F.lit(0))).otherwise(F.array(F.col("band"), F.col("band") + 1))))
+    # a large group is cut into blocks, and every two blocks of a band meet
+    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met_blocks = tiled.withColumn("blocks", count).withColumn("own", own).withColumn(
+    met_blocks = banded.withColumn("blocks", blocks).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tile = F.xxhash64("key", "at", F.least("own", "other"), F.greatest("own", "other"))
-    rows = met_blocks.select("node", "n", "comp", (F.col("band") == F.col("at")).alias("home"), tile.alias("tile"))
+    rows = met_blocks.select(
+        "node", "n", "comp", (F.col("band") == F.col("at")).alias("own_band"), tile.alias("tile"),
+        F.coalesce("home", F.lit(0)).alias("home"), F.col("home").isNotNull().alias("housed"))
     return (
-        rows.join(bits, "node")
+        rows.join(bits, ["node", "n"])
         .repartition("tile").sortWithinPartitions("tile", "n", "node")
-        .select("tile", "node", "n", "comp", "home", "bits")
-        .mapInArrow(_tiles, "a long, b long, comp_a long, comp_b long, bound double")
+        .select("tile", "node", "n", "comp", "own_band", "home", "housed", "bits")
+        .mapInArrow(_tiles(best_only), "a long, b long, comp_a long, comp_b long, bound double")
     )
 
 
@@ -331,52 +353,132 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept
 
 
-def links(pairs: DataFrame, items: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar. Sets are made anew for the nodes of the pairs only."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    items = staged(sets(docs, nodes), "items")
+    release(docs.sparkSession)
     left = items.select(F.col("node").alias("a"), F.col("items").alias("left"))
     right = items.select(F.col("node").alias("b"), F.col("items").alias("right"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_similar, "a long, b long")
+    found = staged(joined.mapInArrow(_similar, "a long, b long").distinct(), "links")
+    release(docs.sparkSession)
+    return found
+
+
+def homes(met: DataFrame) -> DataFrame:
+    """(node, home, blocks): the leader that a node meets most often, and the blocks its home is cut into."""
+    prefix = F.col("n") - F.ceil(TOP * F.col("n") / BOTTOM) + 1
+    shares = met.groupBy("node", "n").agg((F.count(F.lit(1)) / F.first(prefix)).alias("share"))
+    ranked = met.join(shares, ["node", "n"])
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("share", (-F.col("node")).alias("least"))).alias("top")).select(
+        "key", (-F.col("top.least")).alias("home"))
+    counted = met.join(leaders, "key").groupBy("node", "home").agg(
+        F.count(F.lit(1)).alias("met"), F.first(prefix).alias("prefix"))
+    best = counted.where(HOME_SHARE * F.col("met") >= F.col("prefix")).groupBy("node").agg(
+        F.max(F.struct("met", (-F.col("home")).alias("least"))).alias("top"))
+    placed = staged(best.select("node", (-F.col("top.least")).alias("home")), "homes")
+    sizes = placed.groupBy("home").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return placed.join(sizes, "home").select(
+        "node", "home", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
+
+
+def _home_links(node: list[int], items: list[bytes]) -> list[tuple[int, int]]:
+    """Links that connect whatever the pairs of these nodes connect."""
+    order = sorted(range(len(node)), key=lambda i: (len(items[i]), node[i]))
+    node, found = [node[i] for i in order], [np.frombuffer(items[i], dtype=_U) for i in order]
+    size = np.array([len(f) for f in found], dtype=np.int64)
+    words = 2 * int(bitmap_words(size[len(size) // 2:][:1])[0])
+    maps = np.zeros((len(node), words), dtype=_U)
+    for i, f in enumerate(found):
+        bits = np.zeros(words * 64, dtype=np.uint8)
+        bits[(f & _U(words * 64 - 1)).astype(np.int64)] = 1
+        maps[i] = np.packbits(bits, bitorder="little").view(_U)
+    filled = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    label = np.arange(len(node))
+    out = []
+    for i in range(len(node) - 1):
+        last = int(np.searchsorted(size, BOTTOM * size[i] // TOP, "right"))
+        near = np.arange(i + 1, last)
+        near = near[label[near] != label[i]]
+        if not len(near):
+            continue
+        need = required(size[i], size[near])
+        shared = np.bitwise_count(maps[i] & maps[near]).sum(axis=1, dtype=np.int64)
+        bound = np.minimum(size[i] - (filled[i] - shared), size[near] - (filled[near] - shared))
+        likely = np.flatnonzero(bound >= need)
+        for k in likely[np.argsort(-(bound[likely] - need[likely]), kind="stable")].tolist():
+            j = int(near[k])
+            if label[j] != label[i] and len(np.intersect1d(found[i], found[j], assume_unique=True)) >= need[k]:
+                out.append((node[i], node[j]))
+                label[label == label[j]] = label[i]
+    return out
 
 
-def leader_pairs(met: DataFrame) -> DataFrame:
-    """Nodes that share enough leading shingles with their group's leader.
+def _home_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of whole homes; input sorted by tile, which may span batches."""
+    now, node, items = None, [], []
 
-    The set whose prefix ends first has all its common shingles of that prefix among the
-    shared ones, so fewer than ``required - ceil(similarity * larger size) + 1`` shared
-    leading shingles rule a pair out.
-    """
-    low, high = F.least("n", "leader_n"), F.greatest("n", "leader_n")
-    need = F.ceil(TOP * (low + high) / (TOP + BOTTOM)) - F.ceil(TOP * high / BOTTOM) + 1
-    return (
-        met.where(F.col("node") != F.col("leader")).where(BOTTOM * low >= TOP * high)
-        .groupBy(F.col("node").alias("a"), F.col("leader").alias("b"))
-        .agg(F.count(F.lit(1)).alias("met"), F.first(need).alias("need"))
-        .where("met >= need").select("a", "b")
-    )
+    def made(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = zip(*links) if links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        links: list[tuple[int, int]] = []
+        for tile, one, item in zip(*(batch.column(c).to_pylist() for c in ("tile", "node", "items"))):
+            if tile != now:
+                if len(node) > 1:
+                    links += _home_links(node, items)
+                now, node, items = tile, [], []
+            node.append(one)
+            items.append(item)
+        yield made(links)
+    if len(node) > 1:
+        yield made(_home_links(node, items))
+
+
+def home_links(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links inside homes, enough of them to connect what all such links connect."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    tiles = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    named = tiles.select("node", F.xxhash64("home", F.least("own", "other"), F.greatest("own", "other")).alias("tile"))
+    wanted = named.groupBy("node").agg(F.collect_list("tile").alias("tiles"))
+    rows = sets(docs, wanted).select("node", "items", F.explode("tiles").alias("tile"))
+    found = staged(rows.repartition("tile").sortWithinPartitions("tile").select("tile", "node", "items")
+                   .mapInArrow(_home_rows, "a long, b long").distinct(), "home_links")
+    release(docs.sparkSession)
+    return found
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
+    spark = docs.sparkSession
     signed = staged(signatures(docs), "sets")
     classes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"))
     keyed = classes.where("node IS NOT NULL").select("node", "n", F.explode("prefix").alias("key"))
     met = staged(
-        keyed.select("key", "node", "n").repartition("key").sortWithinPartitions("key", "node")
-        .mapInArrow(_meetings, "key long, node long, n int, leader long, leader_n int"), "met")
-    items = staged(sets(docs, met.select("node").distinct()), "items")
-    edges = staged(links(leader_pairs(met), items), "links")
+        keyed.select("key", "node", "n").repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_meetings, "key long, node long, n int"), "met")
+    release(spark)
+    placed = staged(homes(met), "placed")
+    release(spark)
+    edges = home_links(docs, placed)
     found = staged(components(edges), "components")
-    bits = staged(items.mapInArrow(_bitmaps, "node long, bits binary"), "bitmaps")
+    bits = signed.where("n > 0").select(F.col("doc_id").alias("node"), "n", "bits").distinct()
     for best_only in (True, False):
-        pairs = candidates(met, found, bits)
+        pairs = candidates(met, found, placed, bits, best_only)
         if best_only:
             pairs = pairs.groupBy("comp_a", "comp_b").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b")
         else:
             pairs = pairs.select("a", "b").distinct()
-        edges = edges.union(staged(links(pairs, items), "links"))
+        pairs = staged(pairs, "pairs")
+        release(spark)
+        if pairs.isEmpty():
+            break
+        edges = edges.union(links(docs, pairs))
         found = staged(components(edges), "components")
+        release(spark)
     nodes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     named = nodes.join(found, "node", "left").select(
         "n", "d1", "d2", F.coalesce("component", "node").alias("component_id"))
