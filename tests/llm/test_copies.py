@@ -203,6 +203,48 @@ def test_variable_words_are_generalised_and_crowded_leaves_deepen(spark, monkeyp
     assert len(line_dedup.drop_templates(docs).collect()) == 36
 
 
+def _fillings(n):
+    return ["".join("abcdefghij"[int(d)] for d in f"{i:04d}") for i in range(n)]
+
+
+def test_many_fillings_of_a_template_go_like_few(spark):
+    line = "the user named {} has signed in to the service at the front door today"
+    rows = [(i, line.format(name)) for i, name in enumerate(_fillings(513))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_templates(docs).collect()}
+    assert got == {i: int(i > 0) for i in range(513)}
+
+
+def test_dropped_lines_do_not_depend_on_the_lines_a_task_holds(spark, monkeypatch):
+    draw = random.Random(5)
+    word = lambda n: draw.choice("abcdefghijklmnop"[:n]) * 3
+    lines = [" ".join(["one", "same", "start"][:min(3, n)] + [word(m) for _ in range(n - 3)])
+             for n, m, times in ((4, 9, 20), (5, 9, 60), (7, 4, 60), (10, 3, 150), (10, 12, 60), (14, 2, 150))
+             for _ in range(times)]
+    rows = [(i, "\n".join(draw.choices(lines, k=4))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # the definition, line by line: the earliest first line of a template that a line is like
+    leaders, of = [], {}
+    split = [(i, k, line) for i, text in rows for k, line in enumerate(text.split("\n"))]
+    for _, _, line in split:
+        if line not in of:
+            mine = line.split()
+            of[line] = next((x for x in leaders if len(x.split()) == len(mine) and sum(
+                a == b for a, b in zip(x.split(), mine)) / len(mine) >= 0.7), line)
+            leaders += [line] * (of[line] == line)
+    holders = collections.defaultdict(set)
+    for i, _, line in split:
+        holders[of[line]].add(i)
+    seen, expected = set(), collections.Counter()
+    for i, _, line in split:
+        expected[i] += of[line] in seen and len(holders[of[line]]) >= line_dedup.MIN_DOCS
+        seen.add(of[line])
+    for held in (512, 40, 7):
+        monkeypatch.setattr(line_dedup, "CROWDED", held)
+        got = {r.doc_id: r.n_dropped for r in line_dedup.drop_templates(docs).collect()}
+        assert got == dict(expected), held
+
+
 def test_line_dedup_defined_results(edge_docs, edge_rows, no_docs):
     rows = line_dedup.drop_templates(edge_docs).collect()
     assert len(rows) == len(edge_rows)
