@@ -1,6 +1,7 @@
 """Line dedup by templates of lines.
 
-A line's words with digits are variable from the start. Leaves hold the lines with the same
+A line's words with digits are variable from the start, if at least the share ``CONSTANT`` of
+its words has none; other lines (rows of numbers) recur only where all words are equal. Leaves hold the lines with the same
 number of words and the same leading words. Inside a leaf, lines in order of their first
 occurrence join the earliest template whose first line they are like (share of equal words
 at least ``SIMILAR``), or open a new one. A template that recurs in at least ``MIN_DOCS``
@@ -38,12 +39,19 @@ MIN_DOCS = 3
 LEADING = 3
 CROWDED = 512       # lines a task holds
 SIMILAR = 0.7
+CONSTANT = 0.5      # share of words without digits from which a line is a template
 ANY = "<*>"
 
 
+def constant(tokens: Column) -> Column:
+    """Whether enough words are without digits for the others to count as fillings of a template."""
+    return F.size(F.filter(tokens, lambda w: ~w.rlike("[0-9]"))) >= CONSTANT * F.size(tokens)
+
+
 def masked(line: Column) -> Column:
+    """Words of a line, variable where they have digits; all as they are where too few are constant."""
     plain = words(line)
-    return F.when(line.rlike("[0-9]"), F.transform(
+    return F.when(line.rlike("[0-9]") & constant(plain), F.transform(
         plain, lambda w: F.when(w.rlike("[0-9]"), F.lit(ANY)).otherwise(w))).otherwise(plain)
 
 
@@ -189,9 +197,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     tied = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     exploded = tied.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("spot", "words"))
     tokens = exploded.withColumn("tokens", masked(F.col("words"))).where(F.size("tokens") > 0)
-    lines = staged(tokens.select(
-        "doc_id", "tie", "spot", F.xxhash64(F.size("tokens"), "tokens").alias("line"),
-        leaf(F.col("tokens"), LEADING).alias("leaf")), "lines")
+    line = F.xxhash64(F.size("tokens"), "tokens")
+    # lines of mostly numbers have a leaf each, so that only equal ones recur
+    lines = staged(tokens.select("doc_id", "tie", "spot", line.alias("line"), F.when(
+        F.col("words").rlike("[0-9]") & ~constant(F.col("tokens")), line).otherwise(
+            leaf(F.col("tokens"), LEADING)).alias("leaf")), "lines")
     # a document counts once for a line; equal rows are told apart by nothing and count once
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie", "spot")
     known = lines.groupBy("leaf", "line", "doc_id", "tie").agg(F.min(first).alias("first"))

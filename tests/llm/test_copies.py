@@ -245,6 +245,19 @@ def test_dropped_lines_do_not_depend_on_the_lines_a_task_holds(spark, monkeypatc
         assert got == dict(expected), held
 
 
+def test_rows_of_different_numbers_stay(spark):
+    numbers = lambda i: "\n".join(f"{2000 + i} {i}.{k} 8{k}{i} x{i}{k}" for k in range(6))
+    long = lambda i: f"{i} 1 2 3 4 5 6 7 8 9"
+    rows = [(i, f"{numbers(i)}\n{long(i)}\n9 9 9 total\nPage {i} of the book") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.drop_templates(docs).collect()}
+    assert {i: got[i].text for i in got} == {
+        i: f"{numbers(i)}\n{long(i)}" + ("\n9 9 9 total\nPage 0 of the book" if i == 0 else "") for i in range(5)}
+    rows = [(i, numbers(i)) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.drop_templates(docs, drop_emptied=True).count() == 5
+
+
 def test_line_dedup_defined_results(edge_docs, edge_rows, no_docs):
     rows = line_dedup.drop_templates(edge_docs).collect()
     assert len(rows) == len(edge_rows)
