@@ -5,8 +5,9 @@ its words has none; other lines (rows of numbers) recur only where all words are
 number of words and the same leading words. Inside a leaf, lines in order of their first
 occurrence join the earliest template whose first line they are like (share of equal words
 at least ``SIMILAR``), or open a new one. A template that recurs in at least ``MIN_DOCS``
-documents is dropped everywhere but at its first occurrence (least id, first line), so every
-dropped line is like a line that stays. Documents keep their other lines.
+documents (``FEW_DOCS`` where it has fewer than ``FEW_WORDS`` words) is dropped everywhere
+but at its first occurrence (least id, first line), so every dropped line is like a line
+that stays. Documents keep their other lines.
 
 Lines are counted before any text moves: equal lines are one row with a count, and only
 leaves with several different lines are parsed. A leaf with more than ``CROWDED`` lines is
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import WORD, release, staged, words
 from lakemart.llm.components import components
 
-MIN_DOCS = 3
+MIN_DOCS = 2
+FEW_WORDS = 7       # templates of fewer words ("Read more here") need FEW_DOCS documents
+FEW_DOCS = 3
 LEADING = 3
 CROWDED = 512       # lines a task holds
 SIMILAR = 0.7
@@ -192,23 +195,29 @@ def templates(found: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.union, out)
 
 
+def needed(size: Column, min_docs: int = MIN_DOCS) -> Column:
+    """Documents in which a template of so many words recurs."""
+    return F.when(size < FEW_WORDS, F.lit(max(min_docs, FEW_DOCS))).otherwise(F.lit(min_docs))
+
+
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, tie, spots): positions of the lines that go, by row of (doc_id, text)."""
     tied = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     exploded = tied.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("spot", "words"))
     tokens = exploded.withColumn("tokens", masked(F.col("words"))).where(F.size("tokens") > 0)
     line = F.xxhash64(F.size("tokens"), "tokens")
+    least = needed(F.col("size"), min_docs)
     # lines of mostly numbers have a leaf each, so that only equal ones recur
-    lines = staged(tokens.select("doc_id", "tie", "spot", line.alias("line"), F.when(
+    lines = staged(tokens.select("doc_id", "tie", "spot", F.size("tokens").alias("size"), line.alias("line"), F.when(
         F.col("words").rlike("[0-9]") & ~constant(F.col("tokens")), line).otherwise(
             leaf(F.col("tokens"), LEADING)).alias("leaf")), "lines")
     # a document counts once for a line; equal rows are told apart by nothing and count once
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie", "spot")
-    known = lines.groupBy("leaf", "line", "doc_id", "tie").agg(F.min(first).alias("first"))
-    known = staged(known.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first")),
+    known = lines.groupBy("leaf", "line", "size", "doc_id", "tie").agg(F.min(first).alias("first"))
+    known = staged(known.groupBy("leaf", "line", "size").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first")),
                    "distinct_lines")
-    shared = known.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d")).where(
-        (F.col("n") > 1) & (F.col("d") >= min_docs))
+    shared = known.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d"), F.min("size").alias("size")).where(
+        (F.col("n") > 1) & (F.col("d") >= least))
     several = known.join(shared.select("leaf"), "leaf", "left_semi")
     wanted = several.groupBy("first.doc_id", "first.tie").agg(
         F.collect_list(F.struct("leaf", "line", "first")).alias("wanted")).alias("w")
@@ -224,10 +233,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # where every line is its own template its counts are those of the template
     placed = known.join(of_line, "line")
     totals = placed.groupBy("template").agg(
-        F.sum("docs").alias("most"), F.min("first").alias("first")).where(F.col("most") >= min_docs)
+        F.sum("docs").alias("most"), F.min("size").alias("size"), F.min("first").alias("first")).where(
+        F.col("most") >= least).select("template", "first", least.alias("least"))
     marked = lines.join(placed.select("line", "template"), "line").join(totals, "template")
-    holders = marked.select("template", "doc_id", "tie").distinct().groupBy("template").agg(
-        F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
+    holders = marked.select("template", "least", "doc_id", "tie").distinct().groupBy("template", "least").agg(
+        F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= F.col("least"))
     gone = marked.join(holders, "template", "left_semi").where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))
           & (F.col("spot") == F.col("first.spot"))))

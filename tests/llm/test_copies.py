@@ -203,6 +203,10 @@ def test_variable_words_are_generalised_and_crowded_leaves_deepen(spark, monkeyp
     assert len(line_dedup.drop_templates(docs).collect()) == 36
 
 
+def _needed(line):
+    return line_dedup.FEW_DOCS if len(line.split()) < line_dedup.FEW_WORDS else line_dedup.MIN_DOCS
+
+
 def _fillings(n):
     return ["".join("abcdefghij"[int(d)] for d in f"{i:04d}") for i in range(n)]
 
@@ -237,7 +241,7 @@ def test_dropped_lines_do_not_depend_on_the_lines_a_task_holds(spark, monkeypatc
         holders[of[line]].add(i)
     seen, expected = set(), collections.Counter()
     for i, _, line in split:
-        expected[i] += of[line] in seen and len(holders[of[line]]) >= line_dedup.MIN_DOCS
+        expected[i] += of[line] in seen and len(holders[of[line]]) >= _needed(line)
         seen.add(of[line])
     for held in (512, 40, 7):
         monkeypatch.setattr(line_dedup, "CROWDED", held)
@@ -258,6 +262,15 @@ def test_rows_of_different_numbers_stay(spark):
     assert line_dedup.drop_templates(docs, drop_emptied=True).count() == 5
 
 
+def test_lines_of_two_documents_go_from_the_second(spark):
+    passage, seven = " ".join(f"word{chr(97 + i)}" for i in range(26)), "a line of seven words recurs twice"
+    rows = [(i, f"{passage}\n{seven}\nonly six words in this one\n{'uvw'[i]} is alone") for i in range(2)]
+    rows += [(2, f"once here and nowhere else in all texts\n{passage[:-1]}x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_templates(docs).collect()}
+    assert got == {0: rows[0][1], 1: "only six words in this one\nv is alone", 2: "once here and nowhere else in all texts"}
+
+
 def test_line_dedup_defined_results(edge_docs, edge_rows, no_docs):
     rows = line_dedup.drop_templates(edge_docs).collect()
     assert len(rows) == len(edge_rows)
