@@ -85,3 +85,68 @@ e AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
 r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
 SELECT n.doc_id, n_shingles, min(b)::BIGINT AS component_id FROM n JOIN r ON n.doc_id = r.a GROUP BY ALL
 """
+
+SQL["op12_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+e AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * len(regexp_extract_all(d.text, '[A-Z]')) > 5 * length(d.text))::INT
+         + 8 * regexp_matches(d.text, '[#$%&*|]')::INT + 16 * coalesce(least < d.doc_id, false)::INT AS failed
+  FROM d JOIN e ON d.text = e.text LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (SELECT part, failed, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+t AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN failed & (own | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN failed & own <> 0 AND failed & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN failed = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN n * good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN n * toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM c, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM t
+"""
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """Plain rounds of full scans, one pair of steps per round."""
+    steps = [f"""WITH v AS (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, embedding) AS r, vec_id,
+         [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS vec
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+u AS MATERIALIZED (SELECT r, unnest(vec) AS x, unnest(range(64)) AS i FROM v),
+c0 AS (SELECT r - 1 AS c, i, x FROM u WHERE r <= {k})"""]
+    for t in range(rounds + 1):
+        steps.append(f"""d{t} AS (
+  SELECT r, c, sum((u.x - c{t}.x) * (u.x - c{t}.x))::BIGINT AS distance FROM u JOIN c{t} USING (i) GROUP BY r, c),
+a{t} AS MATERIALIZED (
+  SELECT r, c, distance FROM d{t} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1)""")
+        if t < rounds:
+            steps.append(f"""m{t} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{t} JOIN u USING (r) GROUP BY c, i),
+c{t + 1} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN n IS NULL THEN x ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS x
+  FROM c{t} LEFT JOIN m{t} USING (c, i))""")
+    return ",\n".join(steps) + f""",
+h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN h USING (c)"""
+
+
+SQL["op13_centroid_clustering"] = _centroid_sql()

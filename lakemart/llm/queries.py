@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import (
-    bpe, fingerprints, line_dedup, mixing, ngram_join, quality_model, quality_rules, sharding, suffix_dedup, warc)
+    bpe, centroids, filter_audit, fingerprints, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules,
+    sharding, suffix_dedup, warc)
 from lakemart.llm.common import fresh_path, staged, table
 
 
@@ -89,3 +90,21 @@ def op4_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_templates(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, vocabulary("byte_bpe_50k.json"), end=2, capacity=1024)
+    return packing.pack(pieces, capacity=1024)
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+@query
+def op13_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64, prefix="3:")
