@@ -38,60 +38,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.ranks import running_total
-from lakemart.llm.bpe import SPLIT
-from lakemart.llm.common import fresh_path, staged
+from lakemart.llm.bpe import SPLIT, Automaton, byte_letters
+from lakemart.llm.common import staged
 
-REMEMBERED_WORDS = 300_000
-LONGEST_REMEMBERED = 64
 SEGMENT = "segment long, size int, first long, last long, each int, gap int, low long, high long"
 
 
+class _Splits(Automaton):
+    """The token automaton, asked at every merge whether other parts of the joined token could also meet then."""
+
+    others = 0
+
+    def _gadget(self, step: int, u: int, v: int, joined: int, live: set[int]) -> None:
+        if not hasattr(self, "known"):
+            self.known = {label: i for i, label in self.labels.items()}
+        label = self.labels[joined]
+        for cut in range(1, len(label)):
+            left, right = self.known.get(label[:cut]), self.known.get(label[cut:])
+            if (left, right) != (u, v) and left in live and right in live:
+                self.others += self._walk(left, right)
+        super()._gadget(step, u, v, joined, live)
+
+
+def merges_by_rank(description: str) -> bool:
+    """Whether joining any two neighbours whose union is a token, least id first, gives the vocabulary's own encoding.
+
+    It does where ids grow in the order of the merges and no token can come about from other parts than its merge's,
+    which the automaton of the merges decides for all texts.
+    """
+    parts = json.loads(description)
+    model, splitter = parts["model"], parts.get("pre_tokenizer") or {}
+    if parts.get("normalizer") or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") \
+            or not splitter.get("use_regex", True) or len(parts.get("added_tokens", [])) > 1 or "merges" not in model:
+        return False
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"]["".join(m)] for m in merges]
+    if any(a >= b for a, b in zip(ids, ids[1:])) or any(model["vocab"][x] > i for m, i in zip(merges, ids) for x in m):
+        return False
+    try:
+        return not _Splits(description).others
+    except ValueError:               # added tokens with matching rules, or two merges to one token
+        return False
+
+
 class Encoder:
     """Token ids of texts, as bytes of little-endian 32-bit numbers, by a vocabulary of the tokenizers library.
 
-    Where the vocabulary pre-splits at byte level, distinct words are encoded once and remembered.
+    ``by_rank`` (see ``merges_by_rank``) allows the faster encoder that joins by rank.
     """
 
-    def __init__(self, description: str):
-        from tokenizers import Tokenizer
-
+    def __init__(self, description: str, by_rank: bool):
         parts = json.loads(description)
-        splitter = parts.get("pre_tokenizer") or {}
-        self.by_word = splitter.get("type") == "ByteLevel" and not splitter.get("add_prefix_space") \
-            and splitter.get("use_regex", True) and not parts.get("normalizer")
-        self.added = [t["content"] for t in parts.get("added_tokens", [])]
-        self.machine = Tokenizer.from_str(description)
-        self.machine.no_truncation()
-        self.machine.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.machine.encode_batch(words, add_special_tokens=False)
-        learned = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
-        if len(self.known) + len(learned) > REMEMBERED_WORDS:
-            self.known.clear()
-        self.known.update((w, ids) for w, ids in learned.items() if len(w) <= LONGEST_REMEMBERED)
-        return learned
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_word or any(a in text for a in self.added):
-            return np.array(self.machine.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known = SPLIT.findall(text), self.known
-        parts = [known.get(w) for w in words]
-        if None in parts:
-            learned = self._learn(list({w for w, p in zip(words, parts) if p is None}))
-            parts = [learned[w] if p is None else p for w, p in zip(words, parts)]
-        return b"".join(parts)
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(description: str) -> Encoder:
+        if by_rank:
+            import tiktoken
+
+            letters = byte_letters()
+            added = {t["content"]: t["id"] for t in parts.get("added_tokens", [])}
+            ranks = {bytes([letters[c] for c in token]): i for token, i in parts["model"]["vocab"].items() if token not in added}
+            machine = tiktoken.Encoding("vocabulary", pat_str=SPLIT.pattern, mergeable_ranks=ranks, special_tokens=added)
+            self.encode = lambda text: machine.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        else:
+            from tokenizers import Tokenizer
+
+            library = Tokenizer.from_str(description)
+            library.no_truncation()
+            library.no_padding()
+            self.encode = lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(description: str, by_rank: bool) -> Encoder:
     """The process's own, made once for a vocabulary."""
-    name = hashlib.sha256(description.encode("utf-8")).hexdigest()
+    name = hashlib.sha256(description.encode("utf-8")).hexdigest(), by_rank
     if name not in _encoders:
-        _encoders[name] = Encoder(description)
+        _encoders[name] = Encoder(description, by_rank)
     return _encoders[name]
 
 
@@ -108,13 +130,14 @@ def token_pieces(docs: DataFrame, path: str, end: int, capacity: int, keep_ids:
     The vocabulary file is read once and sent to the workers (a few MB, whatever the input).
     """
     with open(path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        description = file.read()
+    shared = docs.sparkSession.sparkContext.broadcast((description, merges_by_rank(description)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["ids"] if keep_ids else [])
     closing = np.array([end], "<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = encoder(shared.value)
+        machine = encoder(*shared.value)
         for batch in batches:
             of, found, ids = [], [], []
             for i, text in enumerate(batch.column("text")):
@@ -214,7 +237,8 @@ def pack(items: DataFrame, capacity: int, work: list | None = None) -> DataFrame
         F.raise_error(F.lit(f"length outside 1..{capacity}")).cast("int"))
     rows = staged(items.select(F.struct("*").alias("item"), checked.alias("size"),
                                F.monotonically_increasing_id().alias("row")), "pack_items")
-    full = rows.where(F.col("size") == capacity).select("item", F.col("row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = rows.where(F.col("size") == capacity).select(
+        "item", F.col("row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     ranked = staged(_ranked(rows.where(F.col("size") < capacity), "size", "row"), "pack_ranks")
     state = Sweeps({r["size"]: r["count"] for r in ranked.groupBy("size").count().collect()}, capacity)
     gaps, resolved = None, None

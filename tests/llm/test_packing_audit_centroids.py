@@ -3,13 +3,14 @@
 import collections
 import hashlib
 import itertools
+import json
 import re
 import zlib
 
 import numpy as np
 import pytest
 
-from lakemart.llm import centroids, filter_audit, packing
+from lakemart.llm import bpe, centroids, filter_audit, packing
 from lakemart.llm.queries import QUERIES, vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -127,14 +128,31 @@ def test_sequences_hold_the_documents_tokens(spark, tokenizer):
     assert found == {i: tokenizer.encode(f"text {i} " * (i % 40), add_special_tokens=False).ids + [2] for i in range(60)}
 
 
-def test_encoder_equals_the_library_on_odd_text(tokenizer):
-    machine = packing.encoder(open(vocabulary(BPE), encoding="utf-8").read())
-    texts = ["", " ", "\n\n  x", "a  b\t\tc   d e", "don't we'll I'M", "x<|endoftext|>y <|endoftext|>", "日本語 text é́",
-             "\x00\x1c\x85 end", "١٢٣ ½ ⅷ 12ab", "😀😀 🏳️‍🌈", "a" * 300, "͸\U0010ffff z", "tail   "]
+@pytest.mark.parametrize("by_rank", [True, False])
+def test_encoder_equals_the_library_on_odd_text(tokenizer, by_rank):
+    machine = packing.encoder(open(vocabulary(BPE), encoding="utf-8").read(), by_rank)
+    texts = ["", " ", "\n\n  x", "a  b\t\tc   d e", "don't we'll I'M", "x<|endoftext|>y <|endoftext|>", "日本語 text é́",
+             "\x00\x1c\x85 end", "١٢٣ ½ ⅷ 12ab", "😀😀 🏳️‍🌈", "a" * 300_000, "͸\U0010ffff z", "tail   ", " " * 200_000 + "x",
+             "|*" * 50_000, "Ünïcödé " * 3000]
     for text in texts:
         assert np.frombuffer(machine.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_merging_by_rank_is_proved_or_left(tmp_path):
+    assert packing.merges_by_rank(open(vocabulary(BPE), encoding="utf-8").read())
+    assert not packing.merges_by_rank(open(vocabulary("word_bpe_49k.json"), encoding="utf-8").read())
+
+    def small(merges, tokens):
+        letters = sorted(bpe.byte_letters())
+        return json.dumps({"model": {"type": "BPE", "vocab": {t: i for i, t in enumerate(letters + tokens)}, "merges": merges},
+                           "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},
+                           "normalizer": None, "added_tokens": []})
+
+    assert packing.merges_by_rank(small(["b c", "a bc"], ["bc", "abc"]))
+    # "ab" joins first, so "abc" never comes about from "a" and "bc"; by rank "ab" and "c" would join
+    assert not packing.merges_by_rank(small(["a b", "b c", "a bc"], ["ab", "bc", "abc"]))
+
+
 # --- filter audit ---
 
 def _audit(rows, labels):
