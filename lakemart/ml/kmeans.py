@@ -70,9 +70,9 @@ def _rule(low_r, high_r, low_f, high_f, low_m) -> Column:
 
 
 def segment_stats(segmented: DataFrame, segment: str = "Segment", names: list | None = None) -> DataFrame:
-    """Mean features, size and name of every segment (-1 is noise)."""
+    """Mean features, size and name of every segment (-1 is noise). Means come from exact sums."""
     def mean(c: str, out: str) -> Column:
-        return F.round(F.avg(c), 2).alias(out)
+        return F.round(F.sum(F.col(c).cast("decimal(28,6)")) / F.count(c), 2).cast("double").alias(out)
 
     stats = segmented.groupBy(F.col(segment).alias("Segment")).agg(
         mean("Recency", "Avg_Recency"), mean("Frequency", "Avg_Frequency"), mean("Monetary", "Avg_Monetary"),

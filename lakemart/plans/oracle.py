@@ -716,6 +716,31 @@ SQL["feat_scaled"] = _with(
         for c in ("Recency", "Frequency", "Monetary", "AvgOrderSize", "RevenuePerOrder", "CustomerLifespan")
     ) + " FROM s", "f", extra={"s": SEGMENTATION}
 )
+SCALED = "SELECT CustomerKey, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS x{i}"
+    for i, c in enumerate(("Recency", "Frequency", "Monetary", "AvgOrderSize", "RevenuePerOrder", "CustomerLifespan"))
+) + " FROM s"
+DENSITY = {
+    "s": SEGMENTATION,
+    "z": SCALED,
+    "near": "SELECT a.CustomerKey AS a, b.CustomerKey AS b FROM z a JOIN z b ON "
+            + " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(6)) + " <= 0.5 * 0.5",
+    "core": "SELECT a FROM near GROUP BY a HAVING count(*) >= 5",
+    "e": "SELECT near.a, near.b FROM near JOIN core x ON near.a = x.a JOIN core y ON near.b = y.a",
+    "r(a, b)": "SELECT a, a FROM core UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a",
+    "low": "SELECT a, min(b) AS low FROM r GROUP BY a",
+    "own": "SELECT a, dense_rank() OVER (ORDER BY low) - 1 AS n FROM low",
+    "border": "SELECT near.a, min(own.n) AS n FROM near JOIN own ON near.b = own.a GROUP BY near.a",
+    "segmented": "SELECT z.CustomerKey, CAST(coalesce(own.n, border.n, -1) AS INTEGER) AS Segment "
+                 "FROM z LEFT JOIN own ON z.CustomerKey = own.a LEFT JOIN border ON z.CustomerKey = border.a",
+}
+
+
+def _density(final: str) -> str:
+    return _with(final, "f", extra=DENSITY).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["ml_dbscan"] = _density("SELECT * FROM segmented")
 SQL["feat_churn"] = _with(
     f"""SELECT *, TotalRevenue_Mean / (TotalRevenue_Std + 1) AS RevenueTrend,
   TotalOrders_Sum / (AvgRecency + 1) AS OrderFrequency, TotalRevenue_Sum / (TotalOrders_Sum + 1) AS ValuePerOrder
@@ -969,19 +994,26 @@ SQL["outliers_iqr"] = _with(
 )
 
 # --- models: the parts with an exact answer ---------------------------------------------------
-SQL["ml_segment_stats"] = _with(
-    """SELECT Segment, Avg_Recency, Avg_Frequency, Avg_Monetary, Avg_OrderSize, Avg_RevenuePerOrder, Avg_Lifespan, Customer_Count,
+def _mean2(col: str) -> str:
+    return f"round(CAST(sum(CAST({col} AS DECIMAL(28,6))) AS DOUBLE) / count(*), 2)"
+
+
+def _segment_stats(segment: str, rows: str) -> str:
+    return f"""SELECT Segment, Avg_Recency, Avg_Frequency, Avg_Monetary, Avg_OrderSize, Avg_RevenuePerOrder, Avg_Lifespan, Customer_Count,
   CASE WHEN Segment = -1 THEN 'Noise/Outliers'
     WHEN Avg_Recency < 100 AND Avg_Frequency > 41 AND Avg_Monetary > 860000 THEN 'Champions'
     WHEN Avg_Recency < 110 AND Avg_Frequency > 38 AND Avg_Monetary > 500000 THEN 'Loyal Customers'
     WHEN Avg_Recency < 100 AND Avg_Frequency < 41 AND Avg_Monetary > 500000 THEN 'Potential Loyalists'
     WHEN Avg_Recency > 100 AND Avg_Frequency > 5 AND Avg_Monetary > 500000 THEN 'At Risk'
     ELSE 'Segment ' || CAST(Segment AS VARCHAR) END AS Description
-FROM (SELECT CAST(CustomerKey % 6 - 1 AS INTEGER) AS Segment, round(avg(Recency), 2) AS Avg_Recency,
-    round(avg(Frequency), 2) AS Avg_Frequency, round(avg(Monetary), 2) AS Avg_Monetary, round(avg(AvgOrderSize), 2) AS Avg_OrderSize,
-    round(avg(RevenuePerOrder), 2) AS Avg_RevenuePerOrder, round(avg(CustomerLifespan), 2) AS Avg_Lifespan,
-    count(*) AS Customer_Count FROM s GROUP BY 1)""", "f", extra={"s": SEGMENTATION}
-)
+FROM (SELECT {segment} AS Segment, {_mean2("Recency")} AS Avg_Recency,
+    {_mean2("Frequency")} AS Avg_Frequency, {_mean2("Monetary")} AS Avg_Monetary, {_mean2("AvgOrderSize")} AS Avg_OrderSize,
+    {_mean2("RevenuePerOrder")} AS Avg_RevenuePerOrder, {_mean2("CustomerLifespan")} AS Avg_Lifespan,
+    count(*) AS Customer_Count FROM {rows} GROUP BY 1)"""
+
+
+SQL["ml_segment_stats"] = _with(_segment_stats("CAST(CustomerKey % 6 - 1 AS INTEGER)", "s"), "f", extra={"s": SEGMENTATION})
+SQL["ml_dbscan_stats"] = _density(_segment_stats("Segment", "s JOIN segmented USING (CustomerKey)"))
 SQL["ml_confusion_metrics"] = _with(
     """SELECT label, prec AS precision, rec AS recall,
   CASE WHEN prec + rec > 0 THEN 2.0::DOUBLE * prec * rec / (prec + rec) ELSE 0 END AS f1, support, accuracy
