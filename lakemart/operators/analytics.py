@@ -9,7 +9,7 @@ from lakemart import config
 from lakemart.functions.columns import dbl, first_at_least, mean_of
 from lakemart.functions.distinct import aggregate
 from lakemart.functions.ranks import exact_quantiles
-from lakemart.operators.kpi import known_only, sales
+from lakemart.operators.kpi import by_month, known_only, places_of, sales
 
 
 def _purchases(star) -> DataFrame:
@@ -177,7 +177,7 @@ def product_performance(star, grades=None) -> DataFrame:
         mean_of("UnitPrice").alias("AvgUnitPrice"),
         F.min("FullDate").alias("FirstSaleDate"),
         F.max("FullDate").alias("LastSaleDate"),
-    ], {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "ActiveDays": "FullDate"})
+    ], {"TotalOrders": "InvoiceKey", "UniqueCustomers": "CustomerKey", "ActiveDays": "DateKey"})
     revenue, pieces = dbl("__revenue"), F.col("TotalQuantity").cast("double")
     stage = F.lit(config.LIFECYCLE_DEFAULT)
     for days, name in reversed(config.LIFECYCLE):
@@ -270,13 +270,12 @@ def _breadth() -> list[Column]:
     ]
 
 
-BREADTH_COUNTS = {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"}
+BREADTH_COUNTS = {"TotalOrders": "InvoiceKey", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"}
 
 
 def seasonal(star) -> DataFrame:
     return (
-        aggregate(sales(star, date=("Year", "Month", "MonthName", "Quarter")),
-                  ["Year", "Month", "MonthName", "Quarter"], _breadth(), BREADTH_COUNTS)
+        by_month(star, _breadth(), BREADTH_COUNTS, "MonthName", "Quarter")
         .withColumn("TotalRevenue", dbl("__revenue"))
         .drop("__revenue")
         .orderBy("Year", "Month")
@@ -285,7 +284,7 @@ def seasonal(star) -> DataFrame:
 
 def geographic(star, markets=None) -> DataFrame:
     return (
-        aggregate(star.fact, ["LocationKey"], _breadth(), BREADTH_COUNTS)
+        aggregate(star.fact, ["LocationKey"], _breadth(), BREADTH_COUNTS, tops=star.tops, groups=places_of(star))
         .join(star.location.select("LocationKey", "Country", "Region", "Continent"), "LocationKey")
         .withColumn("TotalRevenue", dbl("__revenue"))
         .withColumn("MarketSegment", first_at_least(F.col("__revenue"), markets or config.MARKETS, config.MARKET_DEFAULT))

@@ -47,7 +47,7 @@ def measures(keyed: DataFrame, run_id: str, loaded_at: Column, score: Column | N
     zero_money = F.lit(0).cast("decimal(10,2)")
     profit = (revenue - zero_money).cast("decimal(12,2)")
     margin = F.round(F.try_divide(profit * 100, revenue), 2).cast("decimal(5,2)")
-    key = ["SalesKey"] if "SalesKey" in keyed.columns else []
+    key = [c for c in ("SalesKey", "InvoiceKey") if c in keyed.columns]
     return keyed.select(
         *FOREIGN_KEYS,
         *key,

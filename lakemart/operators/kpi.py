@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import dbl, mean_of
-from lakemart.functions.distinct import aggregate
+from lakemart.functions.distinct import MONTHS, aggregate
 
 
 def _sum(col: str, name: str):
@@ -84,6 +84,11 @@ def sales(star, filters: Filters = NO_FILTER, date=(), customer=(), product=(),
     return out
 
 
+def places_of(star) -> int:
+    """Number of locations, where the star tells it; else more than bitmaps could serve."""
+    return star.tops.get("LocationKey", 1 << 40)
+
+
 def known_only(df: DataFrame) -> DataFrame:
     """Without the unknown customer (key 0), filtered on the fact itself."""
     return df.where(F.col("CustomerKey") != 0)
@@ -94,7 +99,7 @@ def global_kpis(star) -> DataFrame:
         _sum("TotalRevenue", "TotalRevenue"),
         _pieces("TotalQuantity"),
         dbl(F.round(F.sum("TotalRevenue") / F.count("TotalRevenue"), 2)).alias("AvgTransactionValue"),
-    ], {"UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey", "TotalOrders": "InvoiceNo"})
+    ], {"UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey", "TotalOrders": "InvoiceKey"}, tops=star.tops)
 
 
 def overview(star, filters: Filters = NO_FILTER) -> DataFrame:
@@ -102,14 +107,20 @@ def overview(star, filters: Filters = NO_FILTER) -> DataFrame:
         _pieces("TotalQuantity"),
         _sum("TotalRevenue", "TotalRevenue"),
         mean_of("TotalRevenue").alias("AvgOrderValue"),
-    ], {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"})
+    ], {"TotalOrders": "InvoiceKey", "UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"}, tops=star.tops)
+
+
+def by_month(star, aggregates: list, distinct: dict[str, str], *names: str) -> DataFrame:
+    """Aggregates of the fact per Year and Month, from its own month columns; other calendar names join the result."""
+    months = aggregate(star.fact, ["SaleYear", "SaleMonth"], aggregates, distinct, tops=star.tops, groups=MONTHS)
+    calendar = star.date.select("Year", "Month", *names).distinct()
+    same = (F.col("SaleYear") == F.col("Year")) & (F.col("SaleMonth") == F.col("Month"))
+    return months.join(calendar, same).select("Year", "Month", *names, *[c for c in months.columns if not c.startswith("Sale")])
 
 
 def monthly(star) -> DataFrame:
-    months = aggregate(
-        sales(star, date=("Year", "Month", "MonthName")), ["Year", "Month", "MonthName"],
-        [_sum("TotalRevenue", "MonthlyRevenue"), _pieces("TotalQuantity")],
-        {"NumOrders": "InvoiceNo", "NumCustomers": "CustomerKey"})
+    months = by_month(star, [_sum("TotalRevenue", "MonthlyRevenue"), _pieces("TotalQuantity")],
+                      {"NumOrders": "InvoiceKey", "NumCustomers": "CustomerKey"}, "MonthName")
     return months.select(
         "Year", "Month", "MonthName", "MonthlyRevenue", "NumOrders", "TotalQuantity", "NumCustomers",
     ).orderBy("Year", "Month")
@@ -206,7 +217,7 @@ def categories(star, filters: Filters = NO_FILTER) -> DataFrame:
 def countries(star, filters: Filters = NO_FILTER) -> DataFrame:
     """One row per country. The fact is folded on its location key; names are looked up after."""
     places = aggregate(sales(star, filters), ["LocationKey"], [_sum("TotalRevenue", "TotalRevenue")],
-                       {"TotalOrders": "InvoiceNo", "UniqueCustomers": "CustomerKey"})
+                       {"TotalOrders": "InvoiceKey", "UniqueCustomers": "CustomerKey"}, tops=star.tops, groups=places_of(star))
     names = star.location.select("LocationKey", "Country", "Region", "Continent")
     return places.join(names, "LocationKey").drop("LocationKey").orderBy(F.desc("TotalRevenue"), "Country")
 
@@ -240,7 +251,7 @@ def region_rollup(star) -> DataFrame:
 
 def country_totals(star) -> DataFrame:
     places = aggregate(star.fact, ["LocationKey"], [_sum("TotalRevenue", "TotalRevenue"), _pieces("TotalQuantity")],
-                       {"NumCustomers": "CustomerKey", "NumProducts": "ProductKey"})
+                       {"NumCustomers": "CustomerKey", "NumProducts": "ProductKey"}, tops=star.tops, groups=places_of(star))
     names = star.location.select("LocationKey", "Country")
     return places.join(names, "LocationKey").drop("LocationKey").orderBy(F.desc("TotalRevenue"), "Country")
 
@@ -319,12 +330,8 @@ def table_counts(star) -> DataFrame:
 
 
 def sanity(star) -> DataFrame:
-    return star.fact.agg(
-        F.count(F.lit(1)).alias("TotalRecords"),
-        _distinct("CustomerKey", "UniqueCustomers"),
-        _distinct("ProductKey", "UniqueProducts"),
-        _sum("TotalRevenue", "TotalRevenue"),
-    )
+    return aggregate(star.fact, [], [F.count(F.lit(1)).alias("TotalRecords"), _sum("TotalRevenue", "TotalRevenue")],
+                     {"UniqueCustomers": "CustomerKey", "UniqueProducts": "ProductKey"}, tops=star.tops)
 
 
 def summary(star) -> DataFrame:

@@ -46,6 +46,7 @@ class Star:
     product: DataFrame
     location: DataFrame
     channel: DataFrame
+    tops: dict[str, int] = field(default_factory=dict)     # largest value of the dense keys
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -54,6 +55,14 @@ class Star:
         }
 
 
+def key_tops(lines: DataFrame, customer: DataFrame, product: DataFrame, location: DataFrame) -> DataFrame:
+    """One row with the largest value of every dense key (0 where a table is empty)."""
+    tops = {"InvoiceKey": lines, "CustomerKey": customer, "ProductKey": product, "LocationKey": location}
+    one = lines.sparkSession.range(1)
+    return one.select(*[
+        F.coalesce(table.agg(F.max(key)).scalar(), F.lit(0)).cast("long").alias(key) for key, table in tops.items()])
+
+
 class Warehouse:
     """Builds each table on first use and writes it under ``root``."""
 
@@ -63,6 +72,7 @@ class Warehouse:
         self.settings = settings or Settings()
         self._raw = raw
         self._tables: dict[str, DataFrame] = {}
+        self._tops: dict[str, int] | None = None
 
     def _table(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         if name not in self._tables:
@@ -98,7 +108,7 @@ class Warehouse:
     @property
     def lines(self) -> DataFrame:
         def build() -> DataFrame:
-            return cleanse.with_order_quantity(cleanse.clean_from(self.counted))
+            return cleanse.with_invoice(cleanse.clean_from(self.counted))
 
         return self._table("lines", build)
 
@@ -138,7 +148,7 @@ class Warehouse:
         """The fact as a lazy plan over the clean lines and the written dimensions."""
         s = self.settings
         loaded_at = F.lit(s.loaded_at).cast("timestamp_ntz")
-        keyed = (self.lines, self.date, self.customer, self.product, self.location, s.run_id, loaded_at)
+        keyed = (self.lines.drop("InvoiceKey"), self.date, self.customer, self.product, self.location, s.run_id, loaded_at)
         unscored = fact.fact_sales(*keyed)
         checks = quality.run_all_checks(unscored, "FactSales")
         return fact.fact_sales(*keyed, score=quality.quality_score(checks).scalar())
@@ -161,6 +171,12 @@ class Warehouse:
             "fact_sales", lambda: fact.scored(self.unscored, quality.quality_score(self.checks)),
             ["SaleYear", "SaleMonth"])
 
+    @property
+    def tops(self) -> dict[str, int]:
+        """Largest value of every dense key: one row."""
+        row = self._table("key_tops", lambda: key_tops(self.lines, self.customer, self.product, self.location)).first()
+        return row.asDict()
+
     def write(self, name: str) -> DataFrame:
         """Build and write one table by its attribute name."""
         return getattr(self, name)
@@ -171,7 +187,9 @@ class Warehouse:
             self.write("lines")
             with ThreadPoolExecutor(4) as pool:
                 list(pool.map(self.write, ("customer", "product", "location", "date")))
-        return Star(self.fact, self.date, self.customer, self.product, self.location, self.channel)
+        if self._tops is None:
+            self._tops = self.tops
+        return Star(self.fact, self.date, self.customer, self.product, self.location, self.channel, self._tops)
 
 
 _OPEN: dict[tuple, Warehouse] = {}
