@@ -13,14 +13,14 @@ from pyspark.sql import types as T
 from lakemart import config
 from lakemart.functions.columns import clean_text, in_range
 from lakemart.functions.ranks import dense_key
-from lakemart.ml import churn, forecast, iforest, kmeans, runner
+from lakemart.ml import churn, dbscan, forecast, iforest, kmeans, runner
 from lakemart.operators import aggregates, analytics, cleanse, dims, fact, features, kpi, lineage, profile, quality
 from lakemart.plans import etl
 from lakemart.plans.warehouse import DRIVER_SETTINGS, RUN_ID, open_warehouse
 from lakemart.session import work_dir
 from lakemart.sinks import tables as sinks
 from lakemart.sources import files, retail
-from lakemart.streaming import jobs
+from lakemart.streaming import jobs, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,6 +680,22 @@ def ml_kmeans(spark, sf_dir):
     return kmeans.predict(kmeans.train(table), table)
 
 
+def _density_segments(spark, sf_dir):
+    scaled = _written(spark, sf_dir, "scaled", lambda: feat_scaled(spark, sf_dir))
+    return dbscan.segment(_segment_features(spark, sf_dir), scaled, eps=0.5, min_samples=5)
+
+
+@query
+def ml_dbscan(spark, sf_dir):
+    """Density segment of every customer; -1 is noise."""
+    return _density_segments(spark, sf_dir).select("CustomerKey", "Segment")
+
+
+@query
+def ml_dbscan_stats(spark, sf_dir):
+    return kmeans.segment_stats(_density_segments(spark, sf_dir), names=SEGMENT_NAMES)
+
+
 @query
 def model_roundtrip(spark, sf_dir):
     """A saved and loaded model against the one in memory: customers and differing segments."""
@@ -859,9 +875,9 @@ def st_tumbling_late(spark, sf_dir):
 
 @query
 def st_sessions(spark, sf_dir):
-    with jobs.local_session_merge(spark):
-        events = _event_stream(spark, sf_dir)
-        return jobs.drain_complete(jobs.sessionized(events, "ts", "user_id", "30 minutes", WIDE_WATERMARK), "sessions")
+    """Sessions the watermark has closed, and those still held in the state at the end of the input."""
+    closed, still = sessions.drain(_event_stream(spark, sf_dir), "sessions", "ts", "user_id", 1800, WIDE_WATERMARK)
+    return sessions.named(closed.unionByName(still), "user_id")
 
 
 @query

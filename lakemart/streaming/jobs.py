@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,6 @@ from pyspark.sql import types as T
 from lakemart.operators import cleanse, fact, quality
 from lakemart.session import work_dir
 
-MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
                 bytes_per_batch: int = 4 << 30) -> DataFrame:
@@ -30,13 +27,13 @@ def with_event_time(stream: DataFrame, column: str, watermark: str) -> DataFrame
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, watermark)
 
 
-def _run_dir(spark: SparkSession, name: str) -> str:
+def run_dir(spark: SparkSession, name: str) -> str:
     return work_dir(spark, "stream", f"{name}-{uuid4().hex}")
 
 
 def drain_append(stream: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Process what is there into a Parquet table and return the table; a ``root`` used before is taken up again."""
-    spark, root = stream.sparkSession, root or _run_dir(stream.sparkSession, name)
+    spark, root = stream.sparkSession, root or run_dir(stream.sparkSession, name)
     started = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/table")
@@ -52,7 +49,7 @@ def drain_upsert(stream: DataFrame, name: str, keys: list[str], progress: list |
     Each micro-batch writes its changed rows under its number, so a replay replaces
     them; state is dropped behind the watermark. ``progress`` collects the progress reports.
     """
-    spark, root = stream.sparkSession, _run_dir(stream.sparkSession, name)
+    spark, root = stream.sparkSession, run_dir(stream.sparkSession, name)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
@@ -71,21 +68,6 @@ def drain_upsert(stream: DataFrame, name: str, keys: list[str], progress: list |
     return newest.select(*keys, "__row.*").select(*stream.columns)
 
 
-def drain_complete(stream: DataFrame, name: str) -> DataFrame:
-    """Process what is there, rewriting the whole aggregate each time; executors write, nothing is collected."""
-    spark, root = stream.sparkSession, _run_dir(stream.sparkSession, name)
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/table")
-
-    started = (
-        stream.writeStream.outputMode("complete").option("checkpointLocation", f"{root}/checkpoint")
-        .foreachBatch(replace).trigger(availableNow=True).start()
-    )
-    started.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/table")
-
-
 def cleansed(raw: DataFrame) -> DataFrame:
     """The stateless part of the cleansing: typing, row rules, revenue. Works on a stream and on a table."""
     revenue = (F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice")).cast("decimal(12,2)")
@@ -122,39 +104,13 @@ def windowed(stream: DataFrame, time: str, value: str, width: str = "1 hour", sl
     )
 
 
-def sessionized(stream: DataFrame, time: str, user: str, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
-    """Sessions per user; a pause of the gap or more ends one."""
-    timed = with_event_time(stream, time, watermark)
-    return timed.groupBy(user, F.session_window(time, gap)).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("event_type") == "view").alias("views"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-    ).select(
-        user, F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
-        "events", "views", "clicks", "purchases",
-    )
-
-
-@contextmanager
-def local_session_merge(spark: SparkSession) -> Iterator[None]:
-    """Merge sessions inside each input partition before the shuffle, so one very
-    active user arrives as sessions and not as events."""
-    before = spark.conf.get(MERGE_LOCALLY)
-    spark.conf.set(MERGE_LOCALLY, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(MERGE_LOCALLY, before)
-
-
 def gated_load(stream: DataFrame, rules: Callable[[DataFrame], list[dict]], table: str,
                critical_threshold: float = 0.05) -> DataFrame:
     """Check each micro-batch and load it, or put it aside whole when the gate is closed.
 
     A batch is written under its number, so a replay replaces it.
     """
-    spark, root = stream.sparkSession, _run_dir(stream.sparkSession, "gate")
+    spark, root = stream.sparkSession, run_dir(stream.sparkSession, "gate")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         checks = quality.evaluate(batch, table, rules(batch))
