@@ -9,10 +9,11 @@ Filters, with their bits:
 * E (16): the text is that of a smaller doc_id, anywhere in the table.
 
 E is an existential self-join: rows meet on a 64-bit digest of the text, then on the text
-itself, and stay if a smaller id is there. Only texts whose digest two ids share are moved
-for that, and the side that is looked up holds one row per text, folded before the shuffle,
-so a text that fills a third of the table costs one row there; its many rows on the other
-side are those of a skewed join, which adaptive execution splits. The ids so marked are
+itself, and stay if a smaller id is there. Texts move once, by digest and in the same way at
+every size, to find those whose digest two ids share; only these meet each other. The side
+that is looked up holds one row per text, folded before the shuffle, so a text that fills a
+third of the table costs one row there; its many rows on the other side are those of a
+skewed join, which adaptive execution splits. The ids so marked are
 united with the failures of the other filters, folded to one bit set per document, and
 counted by part and bit set. All 120 orders follow from these at most 32 counts a part.
 
@@ -65,9 +66,10 @@ def copies(docs: DataFrame, rows: DataFrame) -> DataFrame:
     texts = staged(
         docs.where(F.col("doc_id").isNotNull()).select(
             "doc_id", F.coalesce("source", F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("digest", F.xxhash64("text")).join(shared, "digest", "left_semi"),
+        .withColumn("digest", F.xxhash64("text")).join(shared.hint("merge"), "digest", "left_semi"),
         "audit_texts")
-    least = texts.groupBy("digest", "text").agg(F.min("doc_id").alias("smaller"))
+    # written, so that both sides of the join below are plain shuffles, of which a hot one can be split
+    least = staged(texts.groupBy("digest", "text").agg(F.min("doc_id").alias("smaller")), "audit_least")
     same = (F.col("d.digest") == F.col("s.digest")) & (F.col("d.text") == F.col("s.text"))
     return texts.alias("d").join(
         least.alias("s"), same & (F.col("s.smaller") < F.col("d.doc_id")), "left_semi").select("doc_id", "part", "digest")
