@@ -57,6 +57,22 @@ def dense_key(df: DataFrame, natural_key: str, out: str, **options) -> DataFrame
     return counted.withColumn(out, F.col("__key").cast("long")).drop("__one", "__key")
 
 
+def numbered(df: DataFrame, out: str) -> DataFrame:
+    """Number rows 1..n in no particular order, without sorting: by their place in the partition that writes them."""
+    spark = df.sparkSession
+    path = work_dir(spark, "ranks", uuid.uuid4().hex)
+    placed = df.withColumn("__place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    part = F.shiftright("__place", 33)
+    sizes = written.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)     # one row per partition
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
+    place = F.col("__place") - F.shiftleft(part, 33)
+    return written.join(offsets, part == F.col("__part")).withColumn(out, place + F.col("__before") + 1).drop(
+        "__place", "__part", "__before")
+
+
 def stable_key(df: DataFrame, natural_key: str, out: str, known: DataFrame | None = None) -> DataFrame:
     """Dense keys; members of ``known`` (natural key, key) keep theirs and new ones follow the largest."""
     if known is None:
@@ -69,17 +85,17 @@ def stable_key(df: DataFrame, natural_key: str, out: str, known: DataFrame | Non
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    **options) -> DataFrame:
+                    weight: str | None = None, **options) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per group, columns q0, q1, ...
 
-    Rows collapse to (value, count) before the shuffle, so a value shared by a
+    ``weight`` names a column that says how often a row counts. Rows collapse to (value, count) before the shuffle, so a value shared by a
     third of all rows costs one row; the counts are then ranked by range.
     """
     by = by or []
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
     )
     ranked = running_total(counts, "__v", "__n", "__upto", by, **options)
     totals = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))

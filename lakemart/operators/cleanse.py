@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lakemart import config
 from lakemart.functions.columns import season
-from lakemart.functions.ranks import stable_key
+from lakemart.functions.ranks import numbered
 
 REJECT_RULES = [
     "cancelled_orders", "invalid_quantities", "invalid_prices",
@@ -158,13 +158,10 @@ def with_order_quantity(lines: DataFrame) -> DataFrame:
     return lines.join(totals, "InvoiceNo")
 
 
-def with_invoice(lines: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Add the pieces of the whole invoice and a dense key for its number to each line.
-
-    Invoices of ``known`` (InvoiceNo, InvoiceKey) keep their key, new ones follow the largest.
-    """
+def with_invoice(lines: DataFrame) -> DataFrame:
+    """Add the pieces of the whole invoice and a dense key for its number to each line."""
     totals = lines.groupBy("InvoiceNo").agg(F.sum("Quantity").cast("bigint").alias("OrderQuantity"))
-    return lines.join(stable_key(totals, "InvoiceNo", "InvoiceKey", known), "InvoiceNo")
+    return lines.join(numbered(totals, "InvoiceKey"), "InvoiceNo")
 
 
 def with_date_parts(lines: DataFrame) -> DataFrame:

@@ -85,9 +85,9 @@ def with_sales_key(lines: DataFrame, load: int = 0) -> DataFrame:
     return lines.withColumn("SalesKey", F.lit(load).cast("long") * (1 << 50) + F.monotonically_increasing_id())
 
 
-def scored(unscored: DataFrame, score: DataFrame) -> DataFrame:
-    """The fact with the load's quality score."""
-    return unscored.withColumn("DataQualityScore", score.scalar().cast("decimal(3,2)"))
+def scored(unscored: DataFrame, score: float) -> DataFrame:
+    """The fact with its load's quality score, one number for all rows of a load: given when the table is read."""
+    return unscored.withColumn("DataQualityScore", F.lit(score).cast("decimal(3,2)"))
 
 
 def missing_keys(fact: DataFrame) -> DataFrame:

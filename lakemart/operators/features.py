@@ -9,6 +9,7 @@ from lakemart import config
 from lakemart.functions.columns import dbl, mean_of, sample_std
 from lakemart.functions.ranks import exact_quantiles
 from lakemart.operators.kpi import known_only, sales
+from lakemart.operators.profile import value_counts
 
 
 def ml_sales(star) -> DataFrame:
@@ -154,17 +155,16 @@ def standardized(df: DataFrame, columns: list[str], suffix: str = "_scaled") ->
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles per feature, as numbers: one row per feature."""
-    out = None
-    for c in columns:
+    """Count, mean, deviation, extremes and exact quartiles per feature, as numbers: one row per feature.
+
+    One pass for the moments, one for the quartiles of all features.
+    """
+    def moments(c: str) -> Column:
         value = F.col(c).cast("double")
-        quartiles = exact_quantiles(df.select(value.alias("v")), "v", [0.25, 0.5, 0.75])
-        one = df.agg(
-            F.count(c).alias("count"), F.avg(value).alias("mean"), sample_std(c).alias("std"), F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ).select(
-            F.lit(c).alias("feature"), "*",
-            *[quartiles.select(f"q{i}").scalar().alias(name) for i, name in enumerate(("q25", "q50", "q75"))],
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+        return F.struct(F.lit(c).alias("feature"), F.count(c).alias("count"), F.avg(value).alias("mean"),
+                        sample_std(c).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+
+    rows = df.agg(F.array(*[moments(c) for c in columns]).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+    quartiles = exact_quantiles(value_counts(df, columns, "double"), "v", [0.25, 0.5, 0.75], ["column_name"], weight="n").select(
+        F.col("column_name").alias("feature"), F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
+    return rows.join(quartiles, "feature", "left")

@@ -621,17 +621,28 @@ SQL["agg_daily_sales"] = _with(
     "count(DISTINCT ProductKey) AS UniqueProducts, CAST(sum(f.TotalRevenue) AS DOUBLE) / count(DISTINCT InvoiceNo) AS AverageOrderValue "
     "FROM f GROUP BY DateKey, CustomerKey, LocationKey", "f"
 )
-SQL["agg_monthly_sales"] = _with(
-    """SELECT Year, Month, CustomerKey, LocationKey, rev AS TotalRevenue, q AS TotalQuantity, OrderCount,
+MONTHLY = """SELECT {names}, rev AS TotalRevenue, q AS TotalQuantity, OrderCount,
   CAST(1 AS BIGINT) AS UniqueCustomers, UniqueProducts,
   CASE WHEN lag(rev) OVER w <> 0 THEN 100.0::DOUBLE * (rev - lag(rev) OVER w) / lag(rev) OVER w END AS RevenueGrowth,
   CASE WHEN lag(q) OVER w <> 0 THEN 100.0::DOUBLE * (q::DOUBLE - (lag(q) OVER w)::DOUBLE) / (lag(q) OVER w)::DOUBLE END AS QuantityGrowth,
   CASE WHEN lag(1) OVER w <> 0 THEN 0::DOUBLE END AS CustomerGrowth
-FROM (SELECT Year, Month, CustomerKey, LocationKey, CAST(sum(TotalRevenue) AS DOUBLE) AS rev, CAST(sum(Quantity) AS BIGINT) AS q,
-    count(DISTINCT InvoiceNo) AS OrderCount, count(DISTINCT ProductKey) AS UniqueProducts
-  FROM f GROUP BY Year, Month, CustomerKey, LocationKey)
-WINDOW w AS (PARTITION BY CustomerKey, LocationKey ORDER BY Year, Month)""", "f"
-)
+FROM (SELECT {groups}, CAST(sum(TotalRevenue) AS DOUBLE) AS rev, CAST(sum(Quantity) AS BIGINT) AS q,
+    count(DISTINCT InvoiceNo) AS OrderCount, count(DISTINCT {product}) AS UniqueProducts
+  FROM {rows} GROUP BY ALL)
+WINDOW w AS (PARTITION BY {member} ORDER BY Year, Month)"""
+SQL["agg_monthly_sales"] = _with(MONTHLY.format(
+    names="Year, Month, CustomerKey, LocationKey", groups="Year, Month, CustomerKey, LocationKey", product="ProductKey",
+    rows="f", member="CustomerKey, LocationKey"), "f")
+SQL["agg_daily_kept"] = _with(
+    "SELECT CAST(InvoiceDate AS DATE) AS FullDate, CustomerID, Country, CAST(sum(TotalRevenue) AS DOUBLE) AS TotalRevenue, "
+    "CAST(sum(Quantity) AS BIGINT) AS TotalQuantity, count(DISTINCT InvoiceNo) AS OrderCount, "
+    "count(DISTINCT StockCode) AS UniqueProducts, "
+    "CAST(sum(TotalRevenue) AS DOUBLE) / count(DISTINCT InvoiceNo) AS AverageOrderValue FROM lines GROUP BY ALL", "lines"
+)
+SQL["agg_monthly_kept"] = _with(MONTHLY.format(
+    names="Year, Month, CustomerID, Country", product="StockCode", rows="lines", member="CustomerID, Country",
+    groups="CAST(year(InvoiceDate) AS INTEGER) AS Year, CAST(month(InvoiceDate) AS INTEGER) AS Month, CustomerID, Country",
+), "lines")
 SESSIONS = """
   SELECT user_id, session, min(ts) AS session_start, max(ts) AS session_end,
     datediff('microsecond', min(ts), max(ts)) AS micros, count(*) AS events, count(*) FILTER (WHERE event_type = 'view') AS views,

@@ -73,6 +73,7 @@ class Warehouse:
         self._raw = raw
         self._tables: dict[str, DataFrame] = {}
         self._tops: dict[str, int] | None = None
+        self._score: float | None = None
 
     def _table(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         if name not in self._tables:
@@ -155,21 +156,25 @@ class Warehouse:
 
     @property
     def unscored(self) -> DataFrame:
-        """The fact without its score, written: checks read it, and the joins are planned once."""
+        """The fact as it is written, once: its checks read it, and their score is added where it is read."""
         s = self.settings
-        return self._table("fact_unscored", lambda: fact.fact_sales(
+        return self._table("fact_sales", lambda: fact.fact_sales(
             fact.with_sales_key(self.lines), self.date, self.customer, self.product, self.location, s.run_id,
-            F.lit(s.loaded_at).cast("timestamp_ntz")))
+            F.lit(s.loaded_at).cast("timestamp_ntz")), ["SaleYear", "SaleMonth"])
 
     @property
     def checks(self) -> DataFrame:
         return self._table("fact_checks", lambda: quality.run_all_checks(self.unscored, "FactSales", ["SalesKey"]))
 
+    @property
+    def score(self) -> float:
+        if self._score is None:
+            self._score = float(quality.quality_score(self.checks).first()[0])
+        return self._score
+
     @property
     def fact(self) -> DataFrame:
-        return self._table(
-            "fact_sales", lambda: fact.scored(self.unscored, quality.quality_score(self.checks)),
-            ["SaleYear", "SaleMonth"])
+        return fact.scored(self.unscored, self.score)
 
     @property
     def tops(self) -> dict[str, int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,24 @@ def save_table(df: DataFrame, database: str, name: str) -> None:
     writer.saveAsTable(f"{database}.{name}")
 
 
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, or say that it is there already; the file system decides between two writers."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = system.create(place, False)
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
 def append_log(log: DataFrame, path: str) -> None:
     """Append quality-check or lineage rows."""
     log.write.mode("append").parquet(path)

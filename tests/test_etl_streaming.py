@@ -89,7 +89,7 @@ def test_incremental_load_keeps_history_and_keys(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         etl.load(spark, more, root, Settings(as_of="2012-01-01"), since="2011-01-01")
     assert _sold(etl.open_star(spark, root)) == _sold(whole)
-    assert {r["kind"] for r in spark.read.parquet(f"{root}/loads").collect()} == {"full", "incremental"}
+    assert {r["kind"] for r in etl.loads(spark, root).collect()} == {"full", "incremental"}
 
 
 def test_load_metadata_is_real(spark, tmp_path):
@@ -222,3 +222,59 @@ def test_update_mode_drops_state_behind_the_watermark(spark, tmp_path):
     assert table.count() == 3 * 48 and {r["events"] for r in table.collect()} == {1}
     kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
     assert max(kept) <= 2 * 48 + 2 and kept[-1] < 48
+
+
+def _plain_rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def test_kept_aggregates_equal_a_rebuild_and_read_touched_months_only(spark, tmp_path):
+    # every invoice lies in one month, so newer lines leave earlier months alone
+    raw = generate_lines(spark, 1500).withColumn("InvoiceNo", F.concat(F.date_format("InvoiceDate", "yyyyMM"), "InvoiceNo"))
+    root, settings = str(tmp_path / "w"), lambda: Settings(as_of="2012-01-01")
+    etl.load(spark, raw.where("InvoiceDate < '2011-06-15'"), root, settings(), keep_aggregates=True)
+    star = etl.load(spark, raw, root, settings(), since="2011-06-15")
+    kept, fact = etl.open_aggregates(spark, root), star.fact
+    assert _plain_rows(kept["AggDailySales"]) == _plain_rows(aggregates.daily_sales(fact))
+    assert _plain_rows(kept["AggMonthlySales"]) == _plain_rows(aggregates.monthly_sales(fact))
+    first, second = etl.newest_load(spark, root).parts
+    assert max(first.months) < min(second.months) == 201106
+    # the second load has written the months it touched and no others
+    written = spark.read.parquet(f"{second.path}/agg_daily").select("SaleYear", "SaleMonth").distinct().collect()
+    assert {r.SaleYear * 100 + r.SaleMonth for r in written} == set(second.months)
+    plain = str(tmp_path / "x")
+    etl.load(spark, raw, plain, settings())
+    with pytest.raises(ValueError, match="keeps no aggregates"):
+        etl.open_aggregates(spark, plain)
+    with pytest.raises(ValueError, match="from a full load on"):
+        etl.load(spark, raw, plain, settings(), since="2011-09-01", keep_aggregates=True)
+
+
+def test_two_loads_at_once_are_both_kept(spark, tmp_path, monkeypatch):
+    raw, root = generate_lines(spark, 1500), str(tmp_path / "w")
+    settings = lambda: Settings(as_of="2012-01-01")
+    etl.load(spark, raw.where("InvoiceDate < '2011-03-01'"), root, settings())
+    commit, inner = etl._commit, []
+
+    def late(*args):
+        if not inner:
+            # another load starts and ends while this one is about to switch the star
+            inner.append(True)
+            etl.load(spark, raw.where("InvoiceDate < '2011-08-01'"), root, settings(), since="2011-03-01")
+        return commit(*args)
+
+    monkeypatch.setattr(etl, "_commit", late)
+    star = etl.load(spark, raw.where("InvoiceDate >= '2011-08-01'"), root, settings(), since="2011-08-01")
+    whole = etl.load(spark, raw, str(tmp_path / "x"), settings())
+    assert _sold(star) == _sold(whole) == _sold(etl.open_star(spark, root))
+    assert [r.load for r in etl.loads(spark, root).orderBy("load").collect()] == [0, 1, 2]
+    assert star.fact.select("SalesKey").distinct().count() == star.fact.count()
+    assert star.fact.select("InvoiceNo", "InvoiceKey").distinct().count() == star.fact.select("InvoiceNo").distinct().count()
+    assert star.tops["InvoiceKey"] == star.fact.agg(F.max("InvoiceKey")).first()[0]
+
+
+def test_only_one_of_two_writers_creates_a_file(spark, tmp_path):
+    path = str(tmp_path / "loads" / "0000000001.json")
+    assert sinks.create_if_absent(spark, path, "first") and not sinks.create_if_absent(spark, path, "second")
+    with open(path) as held:
+        assert held.read() == "first"
