@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,19 @@ def train(df: DataFrame, columns: list[str], key: list[str], trees: int = TREES,
     return taken.repartition(shuffle_width(df.sparkSession), "tree").groupBy("tree").applyInPandas(grow, NODE_COLUMNS)
 
 
+def save(nodes: DataFrame, columns: list[str], path: str) -> None:
+    """Keep a forest: its nodes and the columns they split on, in order."""
+    nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    names = nodes.sparkSession.createDataFrame(list(enumerate(columns)), "place int, name string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(nodes, columns) of a kept forest."""
+    names = spark.read.parquet(f"{path}/columns").orderBy("place").collect()
+    return spark.read.schema(NODE_COLUMNS).parquet(f"{path}/nodes"), [r["name"] for r in names]
+
+
 def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, rows_seen: int = SAMPLE) -> DataFrame:
     """Add the anomaly score in [-1, 0): lower is more anomalous.
 

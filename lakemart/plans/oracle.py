@@ -1036,13 +1036,18 @@ FROM (SELECT label, coalesce(CAST(hits AS DOUBLE) / nullif(guessed, 0), 0) AS pr
     extra={"x": "SELECT CASE WHEN rec > 90 THEN 1 ELSE 0 END AS label, CASE WHEN CAST(TotalOrders AS DOUBLE) / (rec + 1) > 0.4 "
                 "THEN 0 ELSE 1 END AS guess FROM ck"}
 )
-SQL["fc_series"] = _with(
-    """SELECT spine.series, spine.Date, coalesce(CAST(v AS DOUBLE), 0) AS value
+FC_SERIES = """SELECT spine.series, spine.Date, coalesce(CAST(v AS DOUBLE), 0) AS value
 FROM (SELECT series, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS Date FROM x GROUP BY series) spine
-LEFT JOIN (SELECT series, day, sum(TotalRevenue) AS v FROM x GROUP BY series, day) t ON spine.series = t.series AND spine.Date = t.day""",
-    "lines", extra={"x": "SELECT Country AS series, CAST(InvoiceDate AS DATE) AS day, TotalRevenue FROM lines UNION ALL "
-                         "SELECT 'ALL', CAST(InvoiceDate AS DATE), TotalRevenue FROM lines"}
-)
+LEFT JOIN (SELECT series, day, sum(TotalRevenue) AS v FROM x GROUP BY series, day) t ON spine.series = t.series AND spine.Date = t.day"""
+FC_DAYS = {"x": "SELECT Country AS series, CAST(InvoiceDate AS DATE) AS day, TotalRevenue FROM lines UNION ALL "
+                "SELECT 'ALL', CAST(InvoiceDate AS DATE), TotalRevenue FROM lines"}
+SQL["fc_series"] = _with(FC_SERIES, "lines", extra=FC_DAYS)
+SQL["fits_roundtrip"] = _with(
+    "SELECT CAST(sum(CASE WHEN n >= 3 THEN 30 ELSE 1 END + CASE WHEN n >= 24 THEN 30 ELSE 1 END) AS BIGINT) AS forecasts, "
+    f"CAST(0 AS BIGINT) AS differing FROM (SELECT series, count(*) AS n FROM ({FC_SERIES}) GROUP BY series)",
+    "lines", extra=FC_DAYS)
+SQL["forest_roundtrip"] = _with(
+    "SELECT count(DISTINCT InvoiceNo) AS invoices, CAST(0 AS BIGINT) AS differing FROM f", "f")
 
 # --- streams: the whole input in one go -----------------------------------------------------------
 STREAMED = (

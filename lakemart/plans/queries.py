@@ -786,6 +786,18 @@ def fc_forecast(spark, sf_dir):
     return forecast.forecast(_series(spark, sf_dir), 30)
 
 
+@query
+def fits_roundtrip(spark, sf_dir):
+    """Kept fits against fits in memory: forecast rows of both and rows that differ."""
+    fits = _written(spark, sf_dir, "fits", lambda: forecast.fit_models(_series(spark, sf_dir)))
+    path = work_dir(spark, "models", uuid4().hex)
+    fits.write.parquet(path)
+    rows = forecast.forecast_from(fits, 30)
+    again = forecast.forecast_from(spark.read.parquet(path), 30)
+    changed = rows.exceptAll(again).agg(F.count(F.lit(1))).scalar()
+    return rows.agg(F.count(F.lit(1)).alias("forecasts")).withColumn("differing", changed)
+
+
 @query
 def fc_series(spark, sf_dir):
     return _series(spark, sf_dir)
@@ -804,6 +816,20 @@ def _invoice_forest(spark, sf_dir):
     return _written(spark, sf_dir, "invoice_scores", lambda: scored)
 
 
+@query
+def forest_roundtrip(spark, sf_dir):
+    """A saved and loaded forest against the one in memory: invoices and differing scores."""
+    table = _written(spark, sf_dir, "invoice", lambda: feat_invoice(spark, sf_dir))
+    nodes = _written(spark, sf_dir, "forest", lambda: iforest.train(table, config.INVOICE_FEATURES, ["InvoiceNo"]))
+    path = work_dir(spark, "models", uuid4().hex)
+    iforest.save(nodes, config.INVOICE_FEATURES, path)
+    again, columns = iforest.load(spark, path)
+    scores = iforest.with_score(table, nodes, config.INVOICE_FEATURES, "score").select("InvoiceNo", "score")
+    loaded = iforest.with_score(table, again, columns, "score").select("InvoiceNo", F.col("score").alias("loaded"))
+    both = scores.join(loaded, "InvoiceNo")
+    return both.agg(F.count(F.lit(1)).alias("invoices"), F.count_if(F.col("score") != F.col("loaded")).alias("differing"))
+
+
 @query
 def ml_iforest(spark, sf_dir):
     return iforest.flag(_invoice_forest(spark, sf_dir), "AnomalyScore", "IsAnomaly", 0.1)

@@ -41,14 +41,99 @@ def test_isolation_forest_finds_planted_points(spark):
     assert flagged.where("odd").count() == pytest.approx(60, abs=2)
 
 
-def test_arima_residuals_match_a_plain_loop():
-    y = np.cumsum(np.random.default_rng(2).normal(0, 1, 80))
-    sse, last = forecast.arima_residuals(y, np.array([0.4]), np.array([-0.3]))
-    total, e, before = 0.0, 0.0, 0.0
-    for d in np.diff(y):
-        e = d - 0.4 * before + 0.3 * e
-        total, before = total + e * e, d
-    assert sse[0] == pytest.approx(total) and last[0] == pytest.approx(e)
+def _dense_likelihood(y, phi, theta):
+    """Log likelihood of the changes from their whole covariance matrix, with the variance at its best."""
+    w, n = np.diff(y), len(y) - 1
+    gamma = np.empty(n)
+    gamma[0] = (1 + 2 * phi * theta + theta ** 2) / (1 - phi ** 2)
+    gamma[1:] = (1 + phi * theta) * (phi + theta) / (1 - phi ** 2) * phi ** np.arange(n - 1)
+    cover = gamma[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    sigma2 = w @ np.linalg.solve(cover, w) / n
+    return -0.5 * (n * (np.log(2 * np.pi * sigma2) + 1) + np.linalg.slogdet(cover)[1])
+
+
+@pytest.mark.parametrize("phi, theta", [(0.4, -0.3), (-0.7, 0.2), (0.95, -0.9), (0.0, 0.5)])
+def test_arima_likelihood_equals_the_dense_one(phi, theta):
+    y = 1e4 + 300 * np.cumsum(np.random.default_rng(2).normal(0, 1, 70))
+    got = forecast.arima_filter(y, np.array([phi]), np.array([theta]))[0][0]
+    assert got == pytest.approx(_dense_likelihood(y, phi, theta), abs=1e-8)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_arima_fit_is_the_likeliest_of_a_fine_search(seed):
+    rng = np.random.default_rng(seed)
+    noise, d = rng.normal(0, 50, 61), np.zeros(60)
+    for t in range(1, 60):
+        d[t] = (0.5, -0.6, 0.8)[seed - 1] * d[t - 1] + noise[t] + (0.3, 0.1, -0.4)[seed - 1] * noise[t - 1]
+    y = 1000 + np.cumsum(d)
+    fit = forecast.fit_arima(y)
+    phi, theta = fit["p"][:2]
+    ll = _dense_likelihood(y, phi, theta)
+    assert fit["aic"] == pytest.approx(6 - 2 * ll, abs=1e-3)
+    assert fit["bic"] == pytest.approx(3 * np.log(60 - 1) - 2 * ll, abs=1e-3)
+    # no point of a search of its own is likelier, and none nearby
+    axis = np.linspace(-0.98, 0.98, 50)
+    others = [(p, q) for p in axis for q in axis] + [(phi + a, theta + b) for a in (-1e-3, 0, 1e-3) for b in (-1e-3, 0, 1e-3)]
+    assert ll >= max(_dense_likelihood(y, p, q) for p, q in others if abs(p) < 1 and abs(q) < 1) - 1e-5
+
+
+def _smoothed(y, weights, state, period):
+    """Plain additive smoothing from given start values: squared errors and the state after the last day."""
+    (alpha, beta, gamma), (level, trend, *season) = weights, state
+    sse = 0.0
+    for t, now in enumerate(y):
+        s = season[t % period]
+        sse += (now - level - trend - s) ** 2
+        new = alpha * (now - s) + (1 - alpha) * (level + trend)
+        trend = beta * (new - level) + (1 - beta) * trend
+        season[t % period] = gamma * (now - new) + (1 - gamma) * s
+        level = new
+    return sse, [level, trend, *season]
+
+
+def test_start_values_of_smoothing_are_the_best_ones():
+    rng = np.random.default_rng(8)
+    y, weights, period = rng.normal(100, 10, 50) + np.arange(50), (0.3, 0.1, 0.2), 4
+    sse, end = forecast.smoothing_fit(y, *[np.array([w]) for w in weights], period)
+    plain = forecast.smoothing_sse(y, *[np.array([w]) for w in weights], period)
+    assert sse[0] < plain[0]
+    # a search over start values of its own, by least squares on the plain recursion
+    zero, unit = np.zeros(period + 2), np.eye(period + 2)
+
+    base = _smoothed(y, weights, list(zero), period)[0]
+    single = np.array([_smoothed(y, weights, list(u), period)[0] for u in unit])
+    double = np.array([[_smoothed(y, weights, list(u + v), period)[0] for v in unit] for u in unit])
+    # the squared error is a quadratic form of the start values
+    form = (double - single[:, None] - single[None, :] + base) / 2
+    slope = (single - base - np.diag(form)) / 2
+    best = -np.linalg.pinv(form, rcond=1e-10) @ slope
+    least, state = _smoothed(y, weights, list(best), period)
+    assert sse[0] == pytest.approx(least, rel=1e-6)
+    assert end[0][0] + end[0][2:][50 % period] == pytest.approx(state[0] + state[2:][50 % period], rel=1e-5)
+
+
+def test_holt_winters_is_never_above_the_plain_start(spark):
+    rng = np.random.default_rng(4)
+    for scale in (1.0, 1e6):
+        y = scale * (50 + 0.2 * np.arange(90) + 5 * np.sin(np.arange(90) * np.pi / 6) + rng.normal(0, 2, 90))
+        fit = forecast.fit_holt_winters(y)
+        axis = np.linspace(0.02, 0.98, 9)
+        a, b, g = [m.ravel() for m in np.meshgrid(axis, axis, axis, indexing="ij")]
+        sse = fit["mse"] * 90
+        assert sse <= forecast.smoothing_sse(y, a, b, g).min()
+        assert sse <= forecast.smoothing_fit(y, a, b, g)[0].min() * 1.02
+        assert fit["aic"] == pytest.approx(90 * np.log(sse / 90) + 32) and fit["bic"] == pytest.approx(90 * np.log(sse / 90) + 16 * np.log(90))
+
+
+def test_kept_fits_forecast_alike(spark, tmp_path):
+    rows = [("a", i, float(i % 7 + i / 9)) for i in range(60)] + [("b", i, 1.0) for i in range(2)]
+    df = spark.createDataFrame(rows, "series string, i int, value double").select(
+        "series", F.expr("date_add(DATE '2020-01-01', i)").alias("Date"), "value")
+    path = str(tmp_path / "fits")
+    forecast.fit_models(df).write.parquet(path)
+    kept = forecast.forecast_from(spark.read.parquet(path), 9)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, forecast.forecast(df, 9).collect()))
+    assert kept.agg(F.min("date")).first()[0].isoformat() == "2020-03-01"
 
 
 def test_arima_recovers_its_parameters():
