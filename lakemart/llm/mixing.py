@@ -2,7 +2,7 @@
 
 Every row gets a hash-random key. Rows are range-sorted by that key inside their
 source, a prefix sum of sizes runs over the ranges, and the sorted sequence is cut
-at the source's budget, to the word. A budget above the source's size repeats whole epochs.
+at the source's budget: to the word in ``plan``, at the nearest whole row in ``mix``. A budget above the source's size repeats whole epochs.
 
 The key is a digest, so its leading digits cut the key space into equal ranges
 without sampling: a source with a third of all rows is spread over all of them.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import staged, word_count, words
+from lakemart.llm.common import staged, word_count
 
 MAX_EPOCHS = 3       # no row is taken more often
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
@@ -52,14 +52,16 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EP
     )
 
 
-def plan(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """How often each row of (doc_id, text, source) is taken: one row per input row."""
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
+         carry: tuple[str, ...] = ()) -> DataFrame:
+    """How often each row of (doc_id, text, source) is taken: one row per input row, with the columns ``carry`` of it."""
     sized = staged(
         docs.select(
             "doc_id", "source",
             word_count(F.col("text")).alias("size"),
             F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("key"),
             F.xxhash64("text").alias("tie"),
+            *carry,
         ).withColumn("range", F.substring("key", 1, RANGE_DIGITS)),
         "mix_sizes",
     )
@@ -75,7 +77,8 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS
     placed = sized.alias("d").join(
         offsets.alias("o"),
         F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.range") == F.col("o.range")),
-    ).select("d.doc_id", "d.source", "d.size", "d.key", "d.tie", "d.range", "offset", "source_size", "target")
+    ).select("d.doc_id", "d.source", "d.size", "d.key", "d.tie", "d.range", "offset", "source_size", "target",
+             *[f"d.{c}" for c in carry])
     local = Window.partitionBy("source", "range").orderBy("key", "doc_id", "tie").rowsBetween(
         Window.unboundedPreceding, 0)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -86,34 +89,21 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS
     part = F.when(F.col("copies") < max_epochs, F.greatest(F.least(rest - F.col("before"), F.col("size")), F.lit(0)))
     return cut.withColumn("part", F.coalesce(part, F.lit(0)).cast("long")).select(
         "doc_id", "source", "key", "tie", "size", "source_size", "target",
-        (F.col("size") * F.col("copies") + F.col("part")).alias("taken"), "copies", "part",
+        (F.col("size") * F.col("copies") + F.col("part")).alias("taken"), "copies", "part", *carry,
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows: every row of ``docs`` as often as the plan takes it, columns unchanged.
+    """The mixed rows: every row of ``docs`` as often as the plan takes it, whole and unchanged.
 
-    The row at a source's cut comes with its first words only, joined by single spaces.
-    Rows that agree in id, source and text share the largest of their counts. A row
-    without words takes nothing from any budget and comes once.
+    The row at a source's cut is taken whole or left, whichever is nearer to the target; ``plan`` has the
+    count to the word. Each of several equal rows follows its own place in the plan. A row without words
+    takes nothing from any budget and comes once.
     """
-    counts = plan(docs, **options).groupBy("doc_id", "source", "tie").agg(
-        F.max("copies").alias("copies"), F.max("part").alias("part"), F.max("size").alias("size"))
-    whole = F.col("c.copies") + F.when(F.col("c.part") == F.col("c.size"), F.lit(1)).otherwise(F.lit(0))
-    times = F.when(F.col("c.size") == 0, F.lit(1).cast("long")).otherwise(whole)
-    cut = (F.col("c.part") > 0) & (F.col("c.part") < F.col("c.size"))
-    named = docs.withColumn("__tie", F.xxhash64("text"))
-    joined = named.alias("d").join(
-        counts.alias("c"),
-        F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-        & F.col("d.source").eqNullSafe(F.col("c.source"))
-        & (F.col("d.__tie") == F.col("c.tie")),
-    )
-    takes = F.concat(
-        F.array_repeat(F.lit(None).cast("long"), times.cast("int")),
-        F.when(cut, F.array(F.col("c.part"))).otherwise(F.array().cast("array<long>")),
-    )
-    repeated = joined.select("d.*", F.explode(takes).alias("__part"))
-    first = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("__part").cast("int")), " ")
-    return repeated.withColumn("text", F.when(F.col("__part").isNull(), F.col("text")).otherwise(first)).select(
-        *docs.columns)
+    held = staged(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "mix_rows")
+    rows = held.select("doc.doc_id", "doc.source", "doc.text", "row")
+    counts = plan(rows, carry=("row",), **options)
+    nearest = F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies") + nearest).cast("int")
+    taken = counts.select("row", times.alias("times")).where("times > 0")
+    return held.join(taken, "row").select("doc", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")

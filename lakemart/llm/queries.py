@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,11 @@ from lakemart.llm.common import fresh_path, staged, table
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file: in the folder TOKENIZERS_DIR, else where its package says."""
     folder = os.environ.get("TOKENIZERS_DIR")
-    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,7 +79,12 @@ def op8_warc(spark, sf_dir):
 
 @query
 def op6_suffix_dedup(spark, sf_dir):
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # a removed run may begin or end inside a character: the digest speaks of the bytes, the text is made valid
+    return left.withColumns({
+        "n_kept": F.col("n_bytes") - F.col("n_removed"),
+        "kept_text": F.make_valid_utf8(F.col("kept").cast("string")),
+    }).drop("kept")
 
 
 @query

@@ -210,10 +210,15 @@ def test_stages_keep_the_columns_and_do_their_work(spark, edge_docs, sf_dir):
 
 def test_near_copies_stage_keeps_one_of_each_group(spark, sf_dir):
     base = " ".join(f"w{i}" for i in range(200))
-    rows = [(4, base), (2, base + " more"), (9, base), (7, " ".join(f"u{i}" for i in range(90))), (11, ""), (None, base)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [r.doc_id for r in corpus_pipeline.near_copies(spark, docs, sf_dir).collect()]
-    assert sorted(kept, key=str) == [11, 2, 7, None]
+    other, third = " ".join(f"u{i}" for i in range(90)), " ".join(f"v{i}" for i in range(70))
+    rows = [(4, base), (2, base + " more"), (9, base), (7, other), (11, ""), (None, base), (7, other), (None, third),
+            (None, third), (13, base), (13, third + " and its own end")]
+    docs = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], "doc_id long, text string, row int, __id int, doc string")
+    kept = corpus_pipeline.near_copies(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    # one of every group, copies without an id included; of two rows of one id only the copy goes
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+        [("2", base + " more"), ("7", other), ("11", ""), ("13", third + " and its own end")])
 
 
 def test_pipeline_on_empty_table(spark, no_docs, sf_dir):

@@ -111,9 +111,26 @@ def test_mix_meets_every_budget(edge_docs, edge_rows):
 def test_mixed_rows_follow_the_plan(edge_docs):
     mixed = mixing.mix(edge_docs)
     assert mixed.columns == edge_docs.columns
-    expected = sum(r.taken for r in mixing.plan(edge_docs.dropDuplicates()).collect())
-    words = sum(len(WORD.findall(r.text or "")) for r in mixing.mix(edge_docs.dropDuplicates()).collect())
-    assert words == expected
+    rows = edge_docs.collect()
+    # whole rows only, each at most three times as often as it is there
+    there, out = collections.Counter(map(str, rows)), collections.Counter(map(str, mixed.collect()))
+    assert set(out) <= set(there) and all(out[r] <= 3 * there[r] for r in out)
+    for r in mixing.plan(edge_docs).collect():
+        assert 0 <= r.taken <= 3 * r.size
+
+
+def test_equal_rows_and_clashing_names_meet_the_budget(spark):
+    rows = [("a", 1, "word " * 40)] * 50 + [("b", i, "own " * 30 + str(i)) for i in range(80)] + [("c", 999, "z " * 20)] * 7
+    docs = spark.createDataFrame([(s, i, t, 5, 6) for s, i, t in rows],
+                                 "source string, doc_id long, text string, row int, __tie int").repartition(4)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    taken = collections.Counter()
+    for r in mixed.collect():
+        assert (r.row, r["__tie"]) == (5, 6)
+        taken[r.source] += len(r.text.split())
+    for r in mixing.plan(docs).groupBy("source").agg({"target": "max", "size": "max"}).collect():
+        assert abs(taken[r.source] - r["max(target)"]) <= r["max(size)"] / 2 + 1
 
 
 def test_empty_tables(no_docs):
