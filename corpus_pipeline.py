@@ -25,11 +25,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the least id stays."""
-    linked = ngram_join.similar_components(docs.select("doc_id", "text"))
-    others = staged(linked.where("component_id != doc_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
+    """Of every group of linked rows one stays: that with the least id (null ids last), of repeated rows the first."""
+    held = staged(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    linked = staged(ngram_join.similar_components(held.select(F.col("row").alias("doc_id"), "doc.text")), "row_groups")
     release(spark)
-    return docs.join(others, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    order = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").alias("doc_id"), "row")
+    named = held.select("row", order.alias("order")).join(linked.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    firsts = named.groupBy("component_id").agg(F.min("order")["row"].alias("kept"))
+    others = staged(named.join(firsts, "component_id").where("row != kept").select("row"), "copies")
+    release(spark)
+    return held.join(others, "row", "left_anti").select("doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
