@@ -7,13 +7,18 @@
    nobody together. The order affects work, never the result.
 3. A shingle's leader is its node most of whose leading shingles are shared: the text
    that copies come from. A node's home is the leader that it meets most often. The sets
-   of a home come together once, in blocks, and all their pairs are compared but those
-   already connected: components replace pairs inside large groups of copies.
+   of a home come together once and all their pairs are compared but those already
+   connected: components replace pairs inside large groups of copies. In a home of more than
+   a block, members are compared with the leader first; only those without that link meet
+   the home's blocks.
 4. What links nodes of different components meets in tiles: a shingle's nodes, where these are many by size band
    (sizes in a ratio of at least the similarity lie in the same or the next band) and blocks.
-   Hashed bitmaps bound the overlap from above by bit counts; pairs of one component
-   are skipped. First the best pair of every two components is compared, then every
-   other pair that is still open.
+   First narrow rows meet, without bitmaps: a row goes on if its shingle holds a partner of
+   another component in the ratio of sizes, where the places of the shingle in both ordered
+   sets leave room for the overlap needed, and both meet others by at least as many leading
+   shingles as such a pair must share. Then hashed bitmaps bound the overlap of the rows left from above by bit
+   counts; pairs of one component are skipped. First the best pair of every two components
+   is compared, then every other pair that is still open.
 5. Comparison is by intersecting the sorted arrays. Links give connected components.
 
 The common shingles are those held by at least one document in 2 / HEAVY_SHARE, of which
@@ -200,21 +205,21 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of shingles with two nodes or more; input sorted by key."""
-    names = ["key", "node", "n"]
+    names = ["key", "node", "n", "pos"]
     last, shown = None, False   # the last row and whether it went out
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, node, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "n"))
+        key, node, n, pos = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
         if last is not None:
-            key, node, n = (np.concatenate([[c], x]) for c, x in zip(last, (key, node, n)))
+            key, node, n, pos = (np.concatenate([[c], x]) for c, x in zip(last, (key, node, n, pos)))
         starts, lengths = _runs(key)
         keep = np.repeat(lengths > 1, lengths)
         if last is not None:
             keep[0] = keep[0] and not shown
-        last, shown = (key[-1], node[-1], n[-1]), bool(lengths[-1] > 1)
+        last, shown = (key[-1], node[-1], n[-1], pos[-1]), bool(lengths[-1] > 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (key, node, n.astype(np.int32))], names=names)
+            [pa.array(x[keep]) for x in (key, node, n.astype(np.int32), pos.astype(np.int32))], names=names)
 
 
 def _matrix(bits: list[bytes], words: int) -> np.ndarray:
@@ -226,51 +231,111 @@ def _matrix(bits: list[bytes], words: int) -> np.ndarray:
     return out
 
 
-def _tile_pairs(tile: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarray, own_band: np.ndarray,
-                home: np.ndarray, housed: np.ndarray, bits: list[bytes]) -> list[tuple]:
+NARROW = ["tile", "node", "n", "comp", "own_band", "home", "housed", "pos", "open"]
+NARROW_SCHEMA = "tile long, node long, n int, comp long, own_band boolean, home long, housed boolean, pos int, open long"
+
+
+class Narrow:
+    """Rows of whole tiles, sorted by tile and size, without their bitmaps."""
+
+    def __init__(self, rows: pa.Table):
+        columns = [rows.column(c).to_numpy() for c in NARROW]
+        self.tile, self.node, self.n, self.comp, self.own, self.home, self.housed, self.pos, self.open = columns
+        self.n = self.n.astype(np.int64)
+        # places of a set's leading shingles beyond the overlap that its smallest partner needs
+        self.prefix = self.n + (TOP * -self.n) // BOTTOM + 1
+
+    def neighbours(self, among: np.ndarray):
+        """Pairs of rows (left, right) of one tile in the ratio of sizes, ``among`` ascending, that are open."""
+        left, gap = np.arange(len(among)), 0
+        while len(left):
+            gap += 1
+            left = left[left + gap < len(among)]
+            a, b = among[left], among[left + gap]
+            # sizes ascend within a tile: once a partner is too large, all later ones are
+            goes = (self.tile[a] == self.tile[b]) & (BOTTOM * self.n[a] >= TOP * self.n[b])
+            left, a, b = left[goes], a[goes], b[goes]
+            go = (self.comp[a] != self.comp[b]) & (self.own[a] | self.own[b])
+            go &= ~((self.home[a] == self.home[b]) & self.housed[a] & self.housed[b])
+            need = required(self.n[a], self.n[b])
+            # the first shared shingle leaves room for the overlap in both sets
+            go &= (self.n[a] - self.pos[a] >= need) & (self.n[b] - self.pos[b] >= need)
+            # shingles that both sets' leading parts must share
+            least = np.minimum(self.prefix[a] - self.n[a], self.prefix[b] - self.n[b]) + need
+            go &= np.minimum(self.open[a], self.open[b]) >= least
+            if go.any():
+                yield a[go], b[go]
+
+
+def _with_partner(rows: pa.Table) -> pa.Table:
+    """The rows that have a partner in their tile."""
+    narrow = Narrow(rows)
+    has = np.zeros(rows.num_rows, dtype=bool)
+    for a, b in narrow.neighbours(np.arange(rows.num_rows)):
+        has[a] = has[b] = True
+    return rows.filter(pa.array(has))
+
+
+def _tile_pairs(rows: pa.Table) -> list[tuple]:
     """Pairs (a, b, comp_a, comp_b, bound) of whole tiles that may be similar; rows sorted by tile and size.
 
     Similar sets differ by one bitmap width at most, so each width meets itself and the next.
     """
+    narrow, bits = Narrow(rows), rows.column("bits").to_pylist()
+    n, node, comp = narrow.n, narrow.node, narrow.comp
     width = bitmap_words(n)
     found = []
     for words in np.unique(width):
-        rows = np.flatnonzero((width == words) | (width == 2 * words))
-        maps = _matrix([bits[i] for i in rows], int(words))
+        among = np.flatnonzero((width == words) | (width == 2 * words))
+        maps = _matrix([bits[i] for i in among], int(words))
         filled = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-        t, size, part, own = tile[rows], n[rows].astype(np.int64), comp[rows], own_band[rows]
-        place, has, narrow = home[rows], housed[rows], width[rows] == words
-        left, gap = np.arange(len(rows)), 0
-        while len(left):
-            gap += 1
-            left = left[left + gap < len(rows)]
-            # sizes ascend within a tile: once a partner is too large, all later ones are
-            left = left[(t[left] == t[left + gap]) & (BOTTOM * size[left] >= TOP * size[left + gap])]
-            right = left + gap
-            go = (part[left] != part[right]) & (own[left] | own[right]) & (narrow[left] | narrow[right])
-            go &= ~((place[left] == place[right]) & has[left] & has[right])
-            a, b = left[go], right[go]
+        place = np.zeros(len(n), dtype=np.int64)
+        place[among] = np.arange(len(among))
+        for a, b in narrow.neighbours(among):
+            go = (width[a] == words) | (width[b] == words)
+            a, b = a[go], b[go]
             if not len(a):
                 continue
-            need = required(size[a], size[b])
-            shared = np.bitwise_count(maps[a] & maps[b]).sum(axis=1, dtype=np.int64)
-            bound = np.minimum(size[a] - (filled[a] - shared), size[b] - (filled[b] - shared))
-            ok = bound >= need
-            if not ok.any():
-                continue
-            a, b = rows[a[ok]], rows[b[ok]]
-            found.append((node[a], node[b], comp[a], comp[b], bound[ok] / (n[a] + n[b] - bound[ok])))
+            i, j = place[a], place[b]
+            shared = np.bitwise_count(maps[i] & maps[j]).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(n[a] - (filled[i] - shared), n[b] - (filled[j] - shared))
+            ok = bound >= required(n[a], n[b])
+            if ok.any():
+                a, b, bound = a[ok], b[ok], bound[ok]
+                found.append((node[a], node[b], comp[a], comp[b], bound / (n[a] + n[b] - bound)))
     return found
 
 
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Some tens of thousands of rows at once, tiles whole; input sorted by tile, which may span batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < TILE_UNIT:
+            continue
+        rows = pa.Table.from_batches(held)
+        tile = rows.column("tile").to_numpy()
+        cut = int(np.searchsorted(tile, tile[-1]))   # the last tile may go on
+        if cut:
+            yield rows.slice(0, cut)
+        held = rows.slice(cut).combine_chunks().to_batches()
+    if held:
+        rows = pa.Table.from_batches(held)
+        if rows.num_rows:
+            yield rows
+
+
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _whole_tiles(batches):
+        yield from _with_partner(rows).to_batches()
+
+
 def _tiles(best_only: bool):
     """Function for candidate pairs of tiles (of two components the best); input sorted by tile, which may span batches."""
     names = ["a", "b", "comp_a", "comp_b", "bound"]
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
-        columns = [rows.column(c).to_numpy() for c in (
-            "tile", "node", "n", "comp", "own_band", "home", "housed")]
-        found = _tile_pairs(*columns, rows.column("bits").to_pylist())
+        found = _tile_pairs(rows)
         if not found:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names=names)
         a, b, ca, cb, bound = (np.concatenate(x) for x in zip(*found))
@@ -285,58 +350,61 @@ def _tiles(best_only: bool):
         return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (a, b, ca, cb, bound)], names=names)
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < TILE_UNIT:
-                continue
-            rows = pa.Table.from_batches(held)
-            tile = rows.column("tile").to_numpy()
-            cut = int(np.searchsorted(tile, tile[-1]))   # the last tile may go on
-            if cut:
-                yield pairs(rows.slice(0, cut))
-            held = rows.slice(cut).combine_chunks().to_batches()
-        if held:
-            rows = pa.Table.from_batches(held)
-            if rows.num_rows:
-                yield pairs(rows)
+        for rows in _whole_tiles(batches):
+            yield pairs(rows)
 
     return tiles
 
 
-def candidates(met: DataFrame, labels: DataFrame, placed: DataFrame, bits: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs of different components that may be similar, from shingles that two components share.
+def partners(met: DataFrame, labels: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows of tiles (see NARROW) that have a partner of another component there.
 
-    Pairs of one home have been compared and are left out.
+    Tiles come from shingles that two components share; pairs of one home have been compared and
+    are left out. In a shingle with many nodes those of its largest component meet the others only.
     """
     known = placed.select("node", "home").join(labels, "node", "full").select(
         "node", "home", F.col("component"))
-    labeled = met.select("key", "node", "n").join(known, "node", "left").withColumn(
-        "comp", F.coalesce("component", "node")).drop("component")
+    labeled = met.join(known, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
     groups = labeled.groupBy("key").agg(
         F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"),
         F.count(F.lit(1)).alias("rows"), F.count("home").alias("housed"))
     mixed_homes = (F.col("housed") < F.col("rows")) | (F.col("h0") != F.col("h1"))
     open_keys = groups.where(F.col("c0") != F.col("c1")).where(mixed_homes).select("key", "rows")
-    open_rows = labeled.join(open_keys, "key")
+    open_rows = staged(labeled.join(open_keys, "key"), "open_rows")
+    release(met.sparkSession)
+    small = F.col("rows") <= BLOCK_ROWS
+    largest = open_rows.where(~small).groupBy("key", "comp").agg(F.count(F.lit(1)).alias("of")).groupBy("key").agg(
+        F.max(F.struct("of", "comp")).alias("main"))
+    open_rows = open_rows.join(open_rows.groupBy("node").agg(F.count(F.lit(1)).alias("open")), "node").join(
+        largest, "key", "left")
     # 4/3 is the largest ratio of sizes, so a band and the one before hold every partner
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(BOTTOM / TOP) + 1e-9).cast("int")
-    small = F.col("rows") <= BLOCK_ROWS
     banded = open_rows.withColumn("band", F.when(small, F.lit(0)).otherwise(band)).withColumn("at", F.explode(
         F.when(small, F.array(F.lit(0))).otherwise(F.array(F.col("band"), F.col("band") + 1))))
-    # a large group is cut into blocks, and every two blocks of a band meet
-    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met_blocks = banded.withColumn("blocks", blocks).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # blocks 0..mains-1 hold the largest component, which is connected; the blocks after them meet all
+    mains = F.when(small, 0).otherwise(F.ceil(F.col("main.of") / BLOCK_ROWS)).cast("int")
+    others = F.when(small, 1).otherwise(F.ceil((F.col("rows") - F.col("main.of")) / BLOCK_ROWS)).cast("int")
+    inside = ~small & (F.col("comp") == F.col("main.comp"))
+    place = F.pmod(F.xxhash64("node"), F.when(inside, mains).otherwise(others)).cast("int")
+    last = mains + others - 1
+    met_blocks = banded.withColumn("own", F.when(inside, place).otherwise(mains + place)).withColumn(
+        "other", F.explode(F.sequence(F.when(inside, mains).otherwise(0), last)))
     tile = F.xxhash64("key", "at", F.least("own", "other"), F.greatest("own", "other"))
     rows = met_blocks.select(
         "node", "n", "comp", (F.col("band") == F.col("at")).alias("own_band"), tile.alias("tile"),
-        F.coalesce("home", F.lit(0)).alias("home"), F.col("home").isNotNull().alias("housed"))
+        F.coalesce("home", F.lit(0)).alias("home"), F.col("home").isNotNull().alias("housed"), "pos", "open")
+    left = staged(
+        rows.repartition("tile").sortWithinPartitions("tile", "n", "node").select(*NARROW)
+        .mapInArrow(_partners, NARROW_SCHEMA), "partners")
+    release(met.sparkSession)
+    return left
+
+
+def candidates(left: DataFrame, bits: DataFrame, best_only: bool) -> DataFrame:
+    """Pairs of different components that may be similar (of two components the best), from the rows of ``partners``."""
     return (
-        rows.join(bits, ["node", "n"])
-        .repartition("tile").sortWithinPartitions("tile", "n", "node")
-        .select("tile", "node", "n", "comp", "own_band", "home", "housed", "bits")
+        left.join(bits, ["node", "n"])
+        .repartition("tile").sortWithinPartitions("tile", "n", "node").select(*NARROW, "bits")
         .mapInArrow(_tiles(best_only), "a long, b long, comp_a long, comp_b long, bound double")
     )
 
@@ -383,10 +451,11 @@ def homes(met: DataFrame) -> DataFrame:
         "node", "home", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
 
 
-def _home_links(node: list[int], items: list[bytes]) -> list[tuple[int, int]]:
-    """Links that connect whatever the pairs of these nodes connect."""
+def _home_links(node: list[int], items: list[bytes], joined: list[bool]) -> list[tuple[int, int]]:
+    """Links that connect whatever the pairs of these nodes connect; those that are ``joined`` are connected."""
     order = sorted(range(len(node)), key=lambda i: (len(items[i]), node[i]))
     node, found = [node[i] for i in order], [np.frombuffer(items[i], dtype=_U) for i in order]
+    together = np.array([joined[i] for i in order], dtype=bool)
     size = np.array([len(f) for f in found], dtype=np.int64)
     words = 2 * int(bitmap_words(size[len(size) // 2:][:1])[0])
     maps = np.zeros((len(node), words), dtype=_U)
@@ -396,6 +465,8 @@ def _home_links(node: list[int], items: list[bytes]) -> list[tuple[int, int]]:
         maps[i] = np.packbits(bits, bitorder="little").view(_U)
     filled = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
     label = np.arange(len(node))
+    if together.any():
+        label[together] = np.flatnonzero(together)[0]
     out = []
     for i in range(len(node) - 1):
         last = int(np.searchsorted(size, BOTTOM * size[i] // TOP, "right"))
@@ -417,7 +488,7 @@ def _home_links(node: list[int], items: list[bytes]) -> list[tuple[int, int]]:
 
 def _home_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of whole homes; input sorted by tile, which may span batches."""
-    now, node, items = None, [], []
+    now, node, items, joined = None, [], [], []
 
     def made(links: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = zip(*links) if links else ((), ())
@@ -425,49 +496,81 @@ def _home_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         links: list[tuple[int, int]] = []
-        for tile, one, item in zip(*(batch.column(c).to_pylist() for c in ("tile", "node", "items"))):
+        for tile, one, item, held in zip(*(batch.column(c).to_pylist() for c in ("tile", "node", "items", "joined"))):
             if tile != now:
                 if len(node) > 1:
-                    links += _home_links(node, items)
-                now, node, items = tile, [], []
+                    links += _home_links(node, items, joined)
+                now, node, items, joined = tile, [], [], []
             node.append(one)
             items.append(item)
+            joined.append(held)
         yield made(links)
     if len(node) > 1:
-        yield made(_home_links(node, items))
+        yield made(_home_links(node, items, joined))
 
 
-def home_links(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """Links inside homes, enough of them to connect what all such links connect."""
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tiles = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    named = tiles.select("node", F.xxhash64("home", F.least("own", "other"), F.greatest("own", "other")).alias("tile"))
-    wanted = named.groupBy("node").agg(F.collect_list("tile").alias("tiles"))
-    rows = sets(docs, wanted).select("node", "items", F.explode("tiles").alias("tile"))
-    found = staged(rows.repartition("tile").sortWithinPartitions("tile").select("tile", "node", "items")
+def _home_tiles(docs: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Links found in tiles (node, tile, joined); a node's set is made once and goes to each of its tiles."""
+    wanted = tiles.groupBy("node", "joined").agg(F.collect_list("tile").alias("tiles"))
+    rows = sets(docs, wanted).select("node", "joined", "items", F.explode("tiles").alias("tile"))
+    found = staged(rows.repartition("tile").sortWithinPartitions("tile").select("tile", "node", "items", "joined")
                    .mapInArrow(_home_rows, "a long, b long").distinct(), "home_links")
     release(docs.sparkSession)
     return found
 
 
+def home_links(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links inside homes, enough of them to connect what all such links connect.
+
+    A home of one block is one tile. In a larger one every member meets the leader, which moves each set
+    once; a pair of members that both have that link is connected. The others, in blocks of their own, meet all blocks.
+    """
+    small = placed.where("blocks = 1").select("node", F.xxhash64("home").alias("tile"), F.lit(False).alias("joined"))
+    found = _home_tiles(docs, small)
+    large = staged(placed.where("blocks > 1"), "large_homes")
+    if large.isEmpty():
+        return found
+    leaders = staged(sets(docs, large.select(F.col("home").alias("node")).distinct()), "leaders")
+    members = sets(docs, large.where("node != home")).select("node", "home", F.col("items").alias("left"))
+    both = members.join(leaders.select(F.col("node").alias("home"), F.col("items").alias("right")), "home")
+    led = staged(both.select(F.col("node").alias("a"), F.col("home").alias("b"), "left", "right")
+                 .mapInArrow(_similar, "a long, b long"), "led")
+    release(docs.sparkSession)
+    with_link = led.select(F.col("a").alias("node"), F.lit(True).alias("__led"))
+    # the leader itself may have another home; in its own it is connected
+    marked = large.join(with_link, "node", "left").withColumn(
+        "joined", F.coalesce("__led", F.lit(False)) | (F.col("node") == F.col("home"))).drop("__led")
+    marked = staged(marked, "led_homes")
+    loose = marked.where("NOT joined").groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("loose"))
+    # blocks 0..blocks-1 hold connected members, blocks after them the others
+    number = F.pmod(F.xxhash64("node"), F.when(F.col("joined"), F.col("blocks")).otherwise(F.col("loose"))).cast("int")
+    block = F.when(F.col("joined"), number).otherwise(F.col("blocks") + number)
+    every = F.col("blocks") + F.col("loose") - 1
+    others = F.when(F.col("joined"), F.sequence(F.col("blocks"), every)).otherwise(F.sequence(F.lit(0), every))
+    tiles = marked.join(loose, "home").withColumn("own", block).withColumn("other", F.explode(others)).select(
+        "node", F.xxhash64("home", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "joined")
+    return found.union(led).union(_home_tiles(docs, tiles))
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
     spark = docs.sparkSession
     signed = staged(signatures(docs), "sets")
     classes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"))
-    keyed = classes.where("node IS NOT NULL").select("node", "n", F.explode("prefix").alias("key"))
+    keyed = classes.where("node IS NOT NULL").select("node", "n", F.posexplode("prefix").alias("pos", "key"))
     met = staged(
-        keyed.select("key", "node", "n").repartition("key").sortWithinPartitions("key")
-        .mapInArrow(_meetings, "key long, node long, n int"), "met")
+        keyed.select("key", "node", "n", "pos").repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_meetings, "key long, node long, n int, pos int"), "met")
     release(spark)
     placed = staged(homes(met), "placed")
     release(spark)
     edges = home_links(docs, placed)
     found = staged(components(edges), "components")
     bits = signed.where("n > 0").select(F.col("doc_id").alias("node"), "n", "bits").distinct()
+    left = partners(met, found, placed)
     for best_only in (True, False):
-        pairs = candidates(met, found, placed, bits, best_only)
+        pairs = candidates(left, bits, best_only)
         if best_only:
             pairs = pairs.groupBy("comp_a", "comp_b").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b")
         else:
@@ -478,6 +581,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
             break
         edges = edges.union(links(docs, pairs))
         found = staged(components(edges), "components")
+        # components have only grown: rows without a partner have none now either
+        left = left.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         release(spark)
     nodes = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     named = nodes.join(found, "node", "left").select(
