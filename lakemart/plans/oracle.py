@@ -985,6 +985,20 @@ SQL["profile_date"] = _with(
     _profile_head("InvoiceDate", "timestamp") + "CAST(min(InvoiceDate) AS DATE) AS min_date, CAST(max(InvoiceDate) AS DATE) AS max_date, "
     "CAST(CAST(max(InvoiceDate) AS DATE) - CAST(min(InvoiceDate) AS DATE) AS INTEGER) AS date_range_days FROM raw", "raw"
 )
+def _merged(c: str, kind: str, m: str) -> str:
+    return (
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS records, count(*) - count({c}) AS null_count, "
+        f"CAST(min({m}) AS DOUBLE) AS min_value, CAST(max({m}) AS DOUBLE) AS max_value, "
+        f"round(CAST(sum({m}) AS DOUBLE) / count({c}), 4) AS mean_value, round(stddev_samp(CAST({m} AS DOUBLE)), 4) AS std_value, "
+        f"count(*) FILTER (WHERE {m} = 0) AS zero_count, count(*) FILTER (WHERE {m} < 0) AS negative_count, "
+        "true AS unique_within, true AS median_within FROM lines"
+    )
+
+
+SQL["profile_merged"] = _with(" UNION ALL ".join(
+    [_merged(c, kind, c) for c, kind in (("Quantity", "int"), ("UnitPrice", "decimal(10,2)"), ("TotalRevenue", "decimal(12,2)"))]
+    + [_merged(c, "string", f"length({c})") for c in ("InvoiceNo", "StockCode", "Description", "CustomerID", "Country")]
+), "lines")
 OUTLIER_COLUMNS = ("Quantity", "UnitPrice", "TotalRevenue")
 BOUNDS = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, q1, q3, q1 - (q3 - q1) * 1.5::DOUBLE AS lower_bound, q3 + (q3 - q1) * 1.5::DOUBLE AS upper_bound "

@@ -14,7 +14,7 @@ from lakemart import config
 from lakemart.functions.columns import clean_text, in_range
 from lakemart.functions.ranks import dense_key
 from lakemart.ml import churn, dbscan, forecast, iforest, kmeans, runner
-from lakemart.operators import aggregates, analytics, cleanse, dims, fact, features, kpi, lineage, profile, quality
+from lakemart.operators import aggregates, analytics, cleanse, dims, fact, features, kpi, lineage, profile, quality, sketches
 from lakemart.plans import etl
 from lakemart.plans.warehouse import DRIVER_SETTINGS, RUN_ID, open_warehouse
 from lakemart.session import work_dir
@@ -673,6 +673,30 @@ def profile_date(spark, sf_dir):
     return profile.profile_date(open_warehouse(spark, sf_dir).raw)
 
 
+@query
+def profile_merged(spark, sf_dir):
+    """The profile from sketches per month: exact figures as they are, estimates held against all values."""
+    lines = open_warehouse(spark, sf_dir).lines
+    columns = list(sketches.COLUMNS)
+    months = sinks.write_table(sketches.month_sketches(lines), work_dir(spark, f"sketches-{uuid4().hex}"))
+    merged = sketches.merge(months)
+    counts = profile.value_counts(lines, columns, "string")
+    number = F.when(F.col("data_type") == "string", F.length("v").cast("double")).otherwise(F.col("v").cast("double"))
+    beside = counts.where("v IS NOT NULL").join(merged.select("column_name", "data_type", "median_estimate"), "column_name")
+    placed = beside.withColumn("m", number).groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("uniques"), F.sum("n").alias("seen"),
+        F.sum(F.when(F.col("m") < F.col("median_estimate"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("m") <= F.col("median_estimate"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    near = F.abs(F.col("unique_estimate") - F.col("uniques")) <= F.col("uniques") * sketches.UNIQUE_ERROR
+    middle = (F.col("below") <= F.col("seen") * (0.5 + sketches.RANK_ERROR)) & (
+        F.col("upto") >= F.col("seen") * (0.5 - sketches.RANK_ERROR))
+    return rounded(merged.join(placed, "column_name").select(
+        "column_name", "data_type", "records", "null_count", "min_value", "max_value", "mean_value", "std_value",
+        "zero_count", "negative_count", near.alias("unique_within"), middle.alias("median_within")),
+        "mean_value", "std_value")
+
+
 @query
 def outlier_bounds(spark, sf_dir):
     bounds = profile.outlier_bounds(open_warehouse(spark, sf_dir).lines, ["Quantity", "UnitPrice", "TotalRevenue"])

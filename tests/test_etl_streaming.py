@@ -121,6 +121,27 @@ def test_files_are_matched_by_header_and_broken_lines_kept_aside(spark, tmp_path
     assert spark.read.parquet(str(unreadable[0])).count() == 1
 
 
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    folder = tmp_path / "many files+"
+    folder.mkdir()
+    for i in range(120):
+        names = ("InvoiceNo", "Country") if i % 3 else ("Country", "InvoiceNo")
+        row = {"InvoiceNo": f"n{i}", "Country": "Cura\u00e7ao"}
+        lines = [",".join(names)] + [",".join(row[n] for n in names)] * 300
+        (folder / f"part {i}.csv").write_bytes("\n".join(lines).encode("latin-1"))
+    (folder / "empty.csv").write_text("")
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    groups = files._headers(spark, str(folder), "ISO-8859-1")
+    jobs = len(sc.statusTracker().getJobIdsForGroup("headers"))
+    sc.setJobGroup("", "")
+    assert {k: len(v) for k, v in groups.items()} == {("InvoiceNo", "Country"): 80, ("Country", "InvoiceNo"): 40}
+    assert jobs <= 10
+    got = files.read_lines_csv(spark, str(folder))
+    assert got.count() == 120 * 300 and got.select("InvoiceNo").distinct().count() == 120
+    assert [r[0] for r in got.select("Country").distinct().collect()] == ["Cura\u00e7ao"]
+
+
 def test_catalog_tables_and_load_guard(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS guard")
     schemas.create_tables(spark, "guard")
@@ -242,6 +263,13 @@ def test_kept_aggregates_equal_a_rebuild_and_read_touched_months_only(spark, tmp
     # the second load has written the months it touched and no others
     written = spark.read.parquet(f"{second.path}/agg_daily").select("SaleYear", "SaleMonth").distinct().collect()
     assert {r.SaleYear * 100 + r.SaleMonth for r in written} == set(second.months)
+    # sketches follow the same months, and their merger speaks of all lines held
+    sketched = spark.read.parquet(f"{second.path}/profile_months").select("SaleYear", "SaleMonth").distinct().collect()
+    assert {r.SaleYear * 100 + r.SaleMonth for r in sketched} == set(second.months)
+    merged = {r["column_name"]: r for r in etl.open_profile(spark, root).collect()}
+    sums = fact.agg(F.count(F.lit(1)).alias("n"), F.max("Quantity").alias("most"), F.avg("Quantity").alias("mean")).first()
+    assert (merged["Quantity"]["records"], merged["Quantity"]["max_value"]) == (sums["n"], sums["most"])
+    assert merged["Quantity"]["mean_value"] == pytest.approx(sums["mean"])
     plain = str(tmp_path / "x")
     etl.load(spark, raw, plain, settings())
     with pytest.raises(ValueError, match="keeps no aggregates"):

@@ -83,3 +83,29 @@ def test_profile_text(spark):
     got = profile.profile_string(df).first()
     assert (got["min_length"], got["max_length"], got["empty_string_count"], got["whitespace_count"]) == (0, 3, 1, 2)
     assert got["null_count"] == 1 and got["unique_count"] == 3
+
+
+def test_merged_sketches_against_all_values(spark):
+    from lakemart.operators import sketches
+
+    when = F.expr("timestamp_ntz'2011-01-03 10:00:00' + make_dt_interval(int(id % 300)) ")
+    lines = spark.range(60_000, numPartitions=7).select(
+        when.alias("InvoiceDate"), F.when(F.col("id") % 10 > 0, (F.col("id") * 7919 % 40_009 - 100).cast("int")).alias("q"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("c"), F.col("id") % 5000)).alias("who"), F.lit(None).cast("int").alias("none"))
+    months = sketches.month_sketches(lines, ("q", "who", "none"))
+    assert months.count() == 10 * 3
+    parts = [sketches.merge(months.where(c)) for c in ("SaleMonth < 4", "SaleMonth >= 4")]
+    assert sum(p.where("column_name = 'q'").first()["records"] for p in parts) == 60_000
+    got = {r["column_name"]: r for r in sketches.merge(months).collect()}
+    plain = lines.select("q", "who").toPandas()
+    q = plain["q"].dropna()
+    assert got["q"]["null_count"] == 6000 and got["q"]["negative_count"] == (q < 0).sum()
+    assert (got["q"]["min_value"], got["q"]["max_value"]) == (q.min(), q.max())
+    assert abs(got["q"]["std_value"] - q.std()) < 1e-6 and abs(got["q"]["mean_value"] - q.mean()) < 1e-9
+    for name, p in (("q1_estimate", 0.25), ("median_estimate", 0.5), ("q3_estimate", 0.75)):
+        assert abs((q <= got["q"][name]).mean() - p) < sketches.RANK_ERROR
+    for name in ("q", "who"):
+        uniques = plain[name].nunique()
+        assert abs(got[name]["unique_estimate"] - uniques) <= sketches.UNIQUE_ERROR * uniques
+    assert got["none"]["null_count"] == 60_000 and got["none"]["median_estimate"] is None and got["none"]["mean_value"] is None
+    assert sketches.merge(sketches.month_sketches(lines.limit(0), ("q",))).count() == 0
