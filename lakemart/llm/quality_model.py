@@ -1,10 +1,13 @@
 """Quality classifier: random-indexing word vectors, pooled per document, into a small calibrated network.
 
-1. Every token (a run of letters, digits or symbols) gets a sparse random index vector from its digest. A token's context
-   vector is the sum of the index vectors of its neighbours in all texts, so it is
-   gathered over the whole corpus: each task adds up its own table, the tables are
-   summed by row. Tokens share a table of BUCKETS rows by digest, which bounds it
-   whatever the vocabulary.
+1. Every token (a run of letters, digits or symbols) gets a sparse random index vector from its 64-bit digest. A token's
+   context vector is the sum of the index vectors of its neighbours in all texts, so it is
+   gathered over the whole corpus. TABLES tables of ROWS rows bound it whatever the
+   vocabulary: a token's context is added to one row of each, under a sign of its own, and
+   read back as the median of its rows under these signs. What other tokens put into a row
+   has random signs, so it cancels in the mean, and the median leaves out a row that a
+   frequent token holds. Counts are the least of the rows. Each task adds up its own
+   tables, which are summed by row.
 2. A document is the mean of its tokens' context vectors (rare ones weigh more), the
    mean of their own index vectors, and a few shares (symbols, capitals, repeats, length).
 3. A two-layer network in numpy learns from labelled rows outside the held-out fold; a
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import staged
 from lakemart.llm.kernels import LOWER, SPACES, Digests, blocks, mixed, stream
 
-BUCKETS = 1 << 14
+TABLES = 3                # the median below is that of three
+ROWS = 1 << 14
 WIDTH = 48
 REACH = 2                 # neighbours on either side
 NONZERO = 2               # entries of an index vector
@@ -40,7 +44,9 @@ HIDDEN = 32
 EPOCHS = 60
 CALIBRATION = 5           # one labelled row in so many sets the temperature
 THRESHOLD = 0.3
-SHARES = 8
+SHARES = 7
+FLUSH = 1 << 27           # tokens after which a task sends its tables on, so that their sums stay 32-bit numbers
+WAVES = 4                 # partial tables for every core of the cluster
 _U = np.uint64
 
 # kinds of bytes: white space, letters (and all of other alphabets), digits, symbols
@@ -57,10 +63,10 @@ def remainder(doc_id: Column) -> Column:
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(table row, text row) of every token of a block: a run of letters, of digits or of symbols, in lower case."""
+    """(digest, text row) of every token of a block: a run of letters, of digits or of symbols, in lower case."""
     n = len(data)
     if not n:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)
     kind = KIND[data]
     edge = np.ones(n + 1, dtype=bool)
     edge[1:n] = kind[1:] != kind[:-1]
@@ -70,78 +76,110 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     solid = kind[starts] != SPACE_KIND
     starts, ends = starts[solid], ends[solid]
     digests = Digests(LOWER[data]).of(starts, ends)
-    return (digests % _U(BUCKETS)).astype(np.int64), np.searchsorted(offsets, starts, "right") - 1
+    return digests, np.searchsorted(offsets, starts, "right") - 1
 
 
-def index_entries() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the nonzero entries of every bucket's index vector."""
-    draws = stream(BUCKETS * NONZERO, 53).reshape(BUCKETS, NONZERO)
-    return (draws % _U(WIDTH)).astype(np.int64), np.where(draws >> _U(63), 1.0, -1.0)
+def index_entries(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the nonzero entries of every token's index vector."""
+    draws = mixed(digests[:, None] + stream(NONZERO, 53))
+    return (draws % _U(WIDTH)).astype(np.int64), np.where(draws >> _U(63), 1, -1)
+
+
+def table_rows(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and sign of every token in each table; the tables lie one after the other."""
+    draws = mixed(digests[:, None] + stream(TABLES, 59))
+    return (draws % _U(ROWS)).astype(np.int64) + np.arange(TABLES) * ROWS, np.where(draws >> _U(63), 1, -1)
+
+
+def block_contexts(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different tokens of a block, how often each occurs, and the sum of its neighbours' index vectors."""
+    names, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    places, signs = index_entries(names)
+    cells, weights = [], []
+    for gap in range(1, REACH + 1):
+        near = owner[:-gap] == owner[gap:]
+        a, b = at[:-gap][near], at[gap:][near]
+        for here, there in ((a, b), (b, a)):
+            for k in range(NONZERO):
+                cells.append(here * WIDTH + places[there, k])
+                weights.append(signs[there, k])
+    sums = np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=len(names) * WIDTH)
+    return names, counts, sums.reshape(-1, WIDTH)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket that occurs in this task: its count and summed context."""
-    places, signs = index_entries()
-    sums, counts = np.zeros(BUCKETS * WIDTH), np.zeros(BUCKETS, dtype=np.int64)
-
-    def add(ids: np.ndarray, owner: np.ndarray) -> None:
-        nonlocal counts
-        counts += np.bincount(ids, minlength=BUCKETS)
-        cells, weights = [], []
-        for gap in range(1, REACH + 1):
-            near = owner[:-gap] == owner[gap:]
-            a, b = ids[:-gap][near], ids[gap:][near]
-            for here, there in ((a, b), (b, a)):
-                for k in range(NONZERO):
-                    cells.append(here * WIDTH + places[there, k])
-                    weights.append(signs[there, k])
-        np.add(sums, np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=BUCKETS * WIDTH), out=sums)
+    """One row per table row that occurs in this task: its count and summed signed context."""
+    sums, counts, seen = np.zeros((TABLES * ROWS, WIDTH)), np.zeros(TABLES * ROWS, dtype=np.int64), 0
+
+    def add(names: np.ndarray, many: np.ndarray, contexts: np.ndarray) -> None:
+        rows, signs = table_rows(names)
+        for t in range(TABLES):
+            order = np.argsort(rows[:, t], kind="stable")
+            at, first = np.unique(rows[order, t], return_index=True)
+            sums[at] += np.add.reduceat((contexts * signs[:, t, None])[order], first, axis=0)
+            counts[at] += np.add.reduceat(many[order], first)
+
+    def sent() -> pa.RecordBatch:
+        used = np.flatnonzero(counts)
+        cells = pa.array(sums[used].ravel().astype(np.int32))
+        return pa.RecordBatch.from_arrays([
+            pa.array(used), pa.array(counts[used]),
+            pa.ListArray.from_arrays(np.arange(0, (len(used) + 1) * WIDTH, WIDTH, dtype=np.int32), cells),
+        ], names=["bucket", "count", "context"])
 
     for batch in batches:
         for _, _, data, offsets in blocks(batch.column("text")):
             ids, owner = tokens(data, offsets)
-            if len(ids):
-                add(ids, owner)
-    used = np.flatnonzero(counts)
-    vectors = sums.reshape(BUCKETS, WIDTH)[used]
-    yield pa.RecordBatch.from_arrays([
-        pa.array(used), pa.array(counts[used]),
-        pa.ListArray.from_arrays(np.arange(0, (len(used) + 1) * WIDTH, WIDTH, dtype=np.int32), pa.array(vectors.ravel())),
-    ], names=["bucket", "count", "context"])
-
-
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """BUCKETS x (WIDTH + 1): unit context vectors and the weight of every bucket, from all texts."""
-    parts = docs.select("text").mapInArrow(_contexts, "bucket long, count long, context array<double>")
-    # whole numbers in doubles: their sums do not depend on the order
+            if not len(ids):
+                continue
+            if seen and seen + len(ids) > FLUSH:
+                yield sent()
+                sums[:], counts[:], seen = 0, 0, 0
+            add(*block_contexts(ids, owner))
+            seen += len(ids)
+    yield sent()
+
+
+def word_tables(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Summed signed contexts and counts by table row, from all texts, and the number of tokens."""
+    texts = docs.select("text").coalesce(WAVES * docs.sparkSession.sparkContext.defaultParallelism)
+    parts = texts.mapInArrow(_contexts, "bucket long, count long, context array<int>")
     summed = parts.groupBy("bucket").agg(
         F.sum("count").alias("count"), *[F.sum(F.get("context", F.lit(i))).alias(f"c{i}") for i in range(WIDTH)])
     rows = summed.toPandas()
-    table = np.zeros((BUCKETS, WIDTH + 1), dtype=np.float32)
+    contexts, counts = np.zeros((TABLES * ROWS, WIDTH), dtype=np.float32), np.zeros(TABLES * ROWS)
     at = rows["bucket"].to_numpy(dtype=np.int64)
-    vectors = rows[[f"c{i}" for i in range(WIDTH)]].to_numpy(dtype=np.float64)
-    vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
+    contexts[at] = rows[[f"c{i}" for i in range(WIDTH)]].to_numpy(dtype=np.float64)
+    counts[at] = rows["count"].to_numpy(dtype=np.float64)
+    return contexts, counts, max(counts[:ROWS].sum(), 1.0)
+
+
+def word_vectors(digests: np.ndarray, contexts: np.ndarray, counts: np.ndarray, total: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit context vector and weight of every token: rare ones weigh more."""
+    rows, signs = table_rows(digests)
+    a, b, c = (contexts[rows[:, t]] * signs[:, t, None].astype(np.float32) for t in range(TABLES))
+    middle = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
+    vectors = np.sign(middle) * np.log1p(np.abs(middle))
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    table[at, :WIDTH] = vectors / np.maximum(norms, 1e-9)
-    counts = rows["count"].to_numpy(dtype=np.float64)
-    table[at, WIDTH] = 1 / (1 + 1000 * counts / max(counts.sum(), 1))
-    return table
+    return vectors / np.maximum(norms, 1e-9), 1 / (1 + 1000 * counts[rows].min(axis=1) / total)
 
 
-def features(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, places: np.ndarray,
-             signs: np.ndarray) -> np.ndarray:
+def features(data: np.ndarray, offsets: np.ndarray, *tables) -> np.ndarray:
     """Pooled vectors and shares of the texts of a block: one row each."""
     rows = len(offsets) - 1
     out = np.zeros((rows, 2 * WIDTH + SHARES), dtype=np.float32)
-    ids, owner = tokens(data, offsets)
-    if not len(ids):
+    digests, owner = tokens(data, offsets)
+    if not len(digests):
         return out
+    names, ids = np.unique(digests, return_inverse=True)
     cuts = np.searchsorted(owner, np.arange(rows + 1))
     many = np.diff(cuts)
     full = np.flatnonzero(many)
-    weight = table[ids, WIDTH]
-    sums = np.add.reduceat(table[ids, :WIDTH] * weight[:, None], cuts[full], axis=0)
+    vectors, weights = word_vectors(names, *tables)
+    weight = weights[ids]
+    sums = np.add.reduceat((vectors * weights[:, None])[ids], cuts[full], axis=0)
     out[full, :WIDTH] = sums / np.add.reduceat(weight, cuts[full])[:, None]
+    places, signs = index_entries(names)
     own = np.zeros(rows * WIDTH)
     for k in range(NONZERO):
         own += np.bincount(owner * WIDTH + places[ids, k], weights=signs[ids, k], minlength=rows * WIDTH)
@@ -157,7 +195,7 @@ def features(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, places: n
     distinct = np.array([len(np.unique(ids[cuts[i]:cuts[i + 1]])) for i in full])
     lines = [data[offsets[i]:offsets[i + 1]].tobytes().split(b"\n") for i in full]
     out[full, 2 * WIDTH:] = np.stack([
-        np.log1p(many[full]) / 10, distinct / many[full], capitals / n, letters / n, counted(data == 124) / n * 10,
+        np.log1p(many[full]) / 10, distinct / many[full], capitals / n, letters / n,
         symbols / n, [len(set(x)) / len(x) for x in lines], letters / many[full] / 10], axis=1)
     return out
 
@@ -224,8 +262,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Network | float:
 def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of (doc_id, text), from labels (doc_id, quality)."""
     spark = docs.sparkSession
-    places, signs = index_entries()
-    shared = spark.sparkContext.broadcast((word_vectors(docs), places, signs))
+    shared = spark.sparkContext.broadcast(word_tables(docs))
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,17 +1,20 @@
 """Tokens against the public library, the classifier on held-out rows, archives by round trip, the pipeline by stage."""
 
 import base64
+import collections
 import gzip
 import hashlib
 import io
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lakemart.llm import bpe, quality_model, warc
+from lakemart.llm import bpe, kernels, quality_model, warc
 from lakemart.llm.queries import QUERIES, vocabulary
 
 VOCABULARY = vocabulary("byte_bpe_50k.json")
@@ -107,6 +110,100 @@ def test_held_out_documents_are_told_apart(spark):
     assert max(abs(again[i] - rows[i].score) for i in again) < 1e-4
 
 
+def _plain_tokens(text):
+    kind = lambda c: 0 if c.isspace() else 1 if c.isalpha() else 2 if c.isdigit() else 3
+    return ["".join(g) for k, g in itertools.groupby(text.lower(), kind) if k]
+
+
+def _digest(token):
+    data = np.frombuffer(token.encode(), dtype=np.uint8)
+    return int(quality_model.tokens(data, np.array([0, len(data)]))[0][0])
+
+
+def _plain_index(token):
+    places, signs = quality_model.index_entries(np.array([_digest(token)], dtype=np.uint64))
+    out = np.zeros(quality_model.WIDTH)
+    for place, sign in zip(places[0], signs[0]):
+        out[place] += sign
+    return out
+
+
+def test_vectors_and_pooling_restated(spark):
+    draw = random.Random(9)
+    known = [f"word{draw.randrange(50)}" for _ in range(40)] + ["River", "##", "|", "42", "stone"]
+    texts = [" ".join(draw.choice(known) for _ in range(draw.randrange(1, 40))) for _ in range(60)] + ["", "one", "a\na\nb|b"]
+    contexts, counts = collections.defaultdict(lambda: np.zeros(quality_model.WIDTH)), collections.Counter()
+    for text in texts:
+        row = _plain_tokens(text)
+        counts.update(row)
+        for i, token in enumerate(row):
+            for j in range(max(0, i - quality_model.REACH), min(len(row), i + quality_model.REACH + 1)):
+                if j != i:
+                    contexts[token] = contexts[token] + _plain_index(row[j])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    tables = quality_model.word_tables(docs)
+    names = sorted(counts)
+    vectors, weights = quality_model.word_vectors(np.array([_digest(n) for n in names], dtype=np.uint64), *tables)
+    unit = {}
+    for name, vector, weight in zip(names, vectors, weights):
+        want = np.sign(contexts[name]) * np.log1p(np.abs(contexts[name]))
+        unit[name] = want / max(np.linalg.norm(want), 1e-9)
+        assert np.allclose(vector, unit[name], atol=1e-6)
+        assert weight == pytest.approx(1 / (1 + 1000 * counts[name] / sum(counts.values())))
+    weigh = dict(zip(names, weights))
+    for text in texts:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        got = quality_model.features(data, np.array([0, len(data)]), *tables)[0]
+        row = _plain_tokens(text)
+        if not row:
+            assert not got.any()
+            continue
+        pooled = sum(unit[t] * weigh[t] for t in row) / sum(weigh[t] for t in row)
+        lines = text.split("\n")
+        letters = sum(c.isalpha() for c in text)
+        shares = [np.log1p(len(row)) / 10, len(set(row)) / len(row), sum(c.isupper() for c in text) / len(text),
+                  letters / len(text), sum(not c.isspace() and not c.isalpha() for c in text) / len(text),
+                  len(set(lines)) / len(lines), letters / len(row) / 10]
+        assert np.allclose(got, [*pooled, *(sum(map(_plain_index, row)) / len(row)), *shares], atol=1e-5)
+
+
+def test_rare_words_keep_vectors_of_their_own():
+    """Far more words than table rows: a rare word's vector and weight are near its own, not its neighbours' in a row."""
+    draw = np.random.default_rng(3)
+    many = 4 * quality_model.ROWS
+    names = draw.integers(1, 1 << 63, many, dtype=np.uint64)
+    counts = np.maximum((3e5 / np.arange(1, many + 1)).astype(np.int64), 1)
+    own = draw.normal(0, 1, (many, quality_model.WIDTH)) * counts[:, None]
+    rows, signs = quality_model.table_rows(names)
+    contexts = np.zeros((quality_model.TABLES * quality_model.ROWS, quality_model.WIDTH))
+    held = np.zeros(len(contexts))
+    for t in range(quality_model.TABLES):
+        np.add.at(contexts, rows[:, t], own * signs[:, t, None])
+        np.add.at(held, rows[:, t], counts)
+    vectors, weights = quality_model.word_vectors(names, contexts.astype(np.float32), held, float(counts.sum()))
+    want = np.sign(own) * np.log1p(np.abs(own))
+    want /= np.linalg.norm(want, axis=1, keepdims=True)
+    alike = (vectors * want).sum(axis=1)
+    # a word in hundreds of thousands may meet more frequent ones in two of its three rows, few do
+    assert np.mean(alike[:200] > 0.9) >= 0.98 and np.median(alike[200:4000]) > 0.9
+    assert np.all(weights <= 1 / (1 + 1000 * counts / counts.sum()) + 1e-12)
+
+
+def test_tables_sent_in_parts_add_up(spark, monkeypatch):
+    docs, _ = _labelled(spark, 60)
+    whole = quality_model.word_tables(docs)
+    column = pa.RecordBatch.from_arrays([pa.array([r.text for r in docs.collect()] * 30)], names=["text"])
+    monkeypatch.setattr(quality_model, "FLUSH", 500)
+    monkeypatch.setattr(quality_model, "blocks", lambda c: kernels.blocks(c, 1000))
+    contexts, counts = np.zeros_like(whole[0]), np.zeros_like(whole[1])
+    parts = list(quality_model._contexts(iter([column])))
+    for part in parts:
+        at = part.column("bucket").to_numpy()
+        contexts[at] += np.array(part.column("context").to_pylist())
+        counts[at] += part.column("count").to_numpy()
+    assert len(parts) > 10 and np.array_equal(counts, 30 * whole[1]) and np.array_equal(contexts, 30 * whole[0])
+
+
 def test_classifier_defined_results(spark, edge_docs, edge_rows, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality_model.score(edge_docs, none).collect()} == {0.5}
