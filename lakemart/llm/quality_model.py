@@ -91,33 +91,29 @@ def table_rows(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (draws % _U(ROWS)).astype(np.int64) + np.arange(TABLES) * ROWS, np.where(draws >> _U(63), 1, -1)
 
 
-def block_contexts(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different tokens of a block, how often each occurs, and the sum of its neighbours' index vectors."""
-    names, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    places, signs = index_entries(names)
-    cells, weights = [], []
-    for gap in range(1, REACH + 1):
-        near = owner[:-gap] == owner[gap:]
-        a, b = at[:-gap][near], at[gap:][near]
-        for here, there in ((a, b), (b, a)):
-            for k in range(NONZERO):
-                cells.append(here * WIDTH + places[there, k])
-                weights.append(signs[there, k])
-    sums = np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=len(names) * WIDTH)
-    return names, counts, sums.reshape(-1, WIDTH)
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Sums on a logarithmic scale with their signs; the median of three is the same before and after."""
+    return np.sign(x) * np.log1p(np.abs(x))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per table row that occurs in this task: its count and summed signed context."""
     sums, counts, seen = np.zeros((TABLES * ROWS, WIDTH)), np.zeros(TABLES * ROWS, dtype=np.int64), 0
 
-    def add(names: np.ndarray, many: np.ndarray, contexts: np.ndarray) -> None:
-        rows, signs = table_rows(names)
+    def add(ids: np.ndarray, owner: np.ndarray) -> None:
+        nonlocal counts
+        rows, turns = table_rows(ids)
+        places, signs = index_entries(ids)
+        near = [(np.flatnonzero(owner[:-gap] == owner[gap:]), gap) for gap in range(1, REACH + 1)]
+        here = np.concatenate([side for low, gap in near for side in (low, low + gap)])
+        there = np.concatenate([side for low, gap in near for side in (low + gap, low)])
+        columns, weights = places[there], signs[there]
         for t in range(TABLES):
-            order = np.argsort(rows[:, t], kind="stable")
-            at, first = np.unique(rows[order, t], return_index=True)
-            sums[at] += np.add.reduceat((contexts * signs[:, t, None])[order], first, axis=0)
-            counts[at] += np.add.reduceat(many[order], first)
+            own = slice(t * ROWS, (t + 1) * ROWS)
+            cells = (rows[here, t, None] - t * ROWS) * WIDTH + columns
+            sums[own] += np.bincount(cells.ravel(), weights=(weights * turns[here, t, None]).ravel(),
+                                     minlength=ROWS * WIDTH).reshape(ROWS, WIDTH)
+        counts += np.bincount(rows.ravel(), minlength=TABLES * ROWS)
 
     def sent() -> pa.RecordBatch:
         used = np.flatnonzero(counts)
@@ -135,13 +131,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if seen and seen + len(ids) > FLUSH:
                 yield sent()
                 sums[:], counts[:], seen = 0, 0, 0
-            add(*block_contexts(ids, owner))
+            add(ids, owner)
             seen += len(ids)
     yield sent()
 
 
 def word_tables(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """Summed signed contexts and counts by table row, from all texts, and the number of tokens."""
+    """Summed signed contexts, scaled, and counts by table row, from all texts, and the number of tokens."""
     texts = docs.select("text").coalesce(WAVES * docs.sparkSession.sparkContext.defaultParallelism)
     parts = texts.mapInArrow(_contexts, "bucket long, count long, context array<int>")
     summed = parts.groupBy("bucket").agg(
@@ -149,7 +145,7 @@ def word_tables(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     rows = summed.toPandas()
     contexts, counts = np.zeros((TABLES * ROWS, WIDTH), dtype=np.float32), np.zeros(TABLES * ROWS)
     at = rows["bucket"].to_numpy(dtype=np.int64)
-    contexts[at] = rows[[f"c{i}" for i in range(WIDTH)]].to_numpy(dtype=np.float64)
+    contexts[at] = scaled(rows[[f"c{i}" for i in range(WIDTH)]].to_numpy(dtype=np.float64))
     counts[at] = rows["count"].to_numpy(dtype=np.float64)
     return contexts, counts, max(counts[:ROWS].sum(), 1.0)
 
@@ -157,11 +153,13 @@ def word_tables(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
 def word_vectors(digests: np.ndarray, contexts: np.ndarray, counts: np.ndarray, total: float) -> tuple[np.ndarray, np.ndarray]:
     """Unit context vector and weight of every token: rare ones weigh more."""
     rows, signs = table_rows(digests)
-    a, b, c = (contexts[rows[:, t]] * signs[:, t, None].astype(np.float32) for t in range(TABLES))
-    middle = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
-    vectors = np.sign(middle) * np.log1p(np.abs(middle))
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.maximum(norms, 1e-9), 1 / (1 + 1000 * counts[rows].min(axis=1) / total)
+    a, b, c = (contexts[rows[:, t]] for t in range(TABLES))
+    for own, sign in zip((a, b, c), signs.T.astype(np.float32)):
+        own *= sign[:, None]
+    vectors = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b, out=a), c, out=c), out=b)
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    vectors /= np.maximum(norms, 1e-9)[:, None]
+    return vectors, (1 / (1 + 1000 * counts[rows].min(axis=1) / total)).astype(np.float32)
 
 
 def features(data: np.ndarray, offsets: np.ndarray, *tables) -> np.ndarray:
@@ -177,7 +175,8 @@ def features(data: np.ndarray, offsets: np.ndarray, *tables) -> np.ndarray:
     full = np.flatnonzero(many)
     vectors, weights = word_vectors(names, *tables)
     weight = weights[ids]
-    sums = np.add.reduceat((vectors * weights[:, None])[ids], cuts[full], axis=0)
+    vectors *= weights[:, None]
+    sums = np.add.reduceat(vectors[ids], cuts[full], axis=0)
     out[full, :WIDTH] = sums / np.add.reduceat(weight, cuts[full])[:, None]
     places, signs = index_entries(names)
     own = np.zeros(rows * WIDTH)

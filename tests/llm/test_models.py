@@ -180,13 +180,14 @@ def test_rare_words_keep_vectors_of_their_own():
     for t in range(quality_model.TABLES):
         np.add.at(contexts, rows[:, t], own * signs[:, t, None])
         np.add.at(held, rows[:, t], counts)
-    vectors, weights = quality_model.word_vectors(names, contexts.astype(np.float32), held, float(counts.sum()))
+    vectors, weights = quality_model.word_vectors(
+        names, quality_model.scaled(contexts).astype(np.float32), held, float(counts.sum()))
     want = np.sign(own) * np.log1p(np.abs(own))
     want /= np.linalg.norm(want, axis=1, keepdims=True)
     alike = (vectors * want).sum(axis=1)
     # a word in hundreds of thousands may meet more frequent ones in two of its three rows, few do
     assert np.mean(alike[:200] > 0.9) >= 0.98 and np.median(alike[200:4000]) > 0.9
-    assert np.all(weights <= 1 / (1 + 1000 * counts / counts.sum()) + 1e-12)
+    assert np.all(weights <= 1 / (1 + 1000 * counts / counts.sum()) + 1e-6)
 
 
 def test_tables_sent_in_parts_add_up(spark, monkeypatch):
@@ -201,7 +202,8 @@ def test_tables_sent_in_parts_add_up(spark, monkeypatch):
         at = part.column("bucket").to_numpy()
         contexts[at] += np.array(part.column("context").to_pylist())
         counts[at] += part.column("count").to_numpy()
-    assert len(parts) > 10 and np.array_equal(counts, 30 * whole[1]) and np.array_equal(contexts, 30 * whole[0])
+    assert len(parts) > 10 and np.array_equal(counts, 30 * whole[1])
+    assert np.allclose(quality_model.scaled(contexts / 30), whole[0], atol=1e-6)
 
 
 def test_classifier_defined_results(spark, edge_docs, edge_rows, no_docs):
