@@ -40,6 +40,22 @@ def lookup_keys(lines: DataFrame, date: DataFrame, customer: DataFrame, product:
     )
 
 
+def with_line_key(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Lines with LineKey, a 256-bit digest of the given columns; nulls differ from every text."""
+    text = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    whole = F.concat_ws("", *[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in text])
+    return lines.withColumn("LineKey", F.unhex(F.sha2(whole.cast("binary"), 256)))
+
+
+def new_lines(lines: DataFrame, held: DataFrame) -> DataFrame:
+    """Lines (with LineKey) that ``held`` does not have.
+
+    Where ``held`` is bucketed by LineKey the history stays where it lies and only the new
+    lines are shuffled.
+    """
+    return lines.join(held.select("LineKey"), "LineKey", "left_anti")
+
+
 def measures(keyed: DataFrame, run_id: str, loaded_at: Column, score: Column | None = None) -> DataFrame:
     """Financial measures and load metadata. Cost, discount, tax, returns and
     delivery days are not in the source and stay zero."""

@@ -959,6 +959,13 @@ SQL["dq_referential"] = _with(
     ), *STAR
 )
 
+SQL["fact_fk_bucketed"] = SQL["fact_fk_missing"]
+SQL["incr_new_lines"] = _with(
+    "SELECT CAST(year(InvoiceDate) AS INTEGER) AS sale_year, CAST(month(InvoiceDate) AS INTEGER) AS sale_month, count(*) AS lines, "
+    "CAST(sum(Quantity) AS BIGINT) AS pieces, CAST(sum(TotalRevenue) AS DOUBLE) AS revenue FROM lines "
+    "WHERE InvoiceDate >= TIMESTAMP '1998-01-01' GROUP BY ALL", "lines"
+)
+
 # --- profiling -----------------------------------------------------------------------------------
 def _profile_head(c: str, kind: str) -> str:
     return (

@@ -17,7 +17,7 @@ from lakemart.ml import churn, dbscan, forecast, iforest, kmeans, runner
 from lakemart.operators import aggregates, analytics, cleanse, dims, fact, features, kpi, lineage, profile, quality, sketches
 from lakemart.plans import etl
 from lakemart.plans.warehouse import DRIVER_SETTINGS, RUN_ID, open_warehouse
-from lakemart.session import work_dir
+from lakemart.session import shuffle_width, work_dir
 from lakemart.sinks import tables as sinks
 from lakemart.sources import files, retail
 from lakemart.streaming import jobs, sessions
@@ -272,6 +272,32 @@ def fact_fk_missing(spark, sf_dir):
     return fact.missing_keys(keyed)
 
 
+def _bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    path = work_dir(df.sparkSession, f"{name}-{uuid4().hex}")
+    return sinks.write_bucketed(df, path, [key], shuffle_width(df.sparkSession))
+
+
+@query
+def fact_fk_bucketed(spark, sf_dir):
+    """The key lookup against customers and products that lie by their natural keys."""
+    w = open_warehouse(spark, sf_dir)
+    people = _bucketed(w.customer.where("CustomerKey % 25 <> 0 OR CustomerKey = 0"), "customers", "CustomerID")
+    goods = _bucketed(w.product.where("ProductKey % 10 <> 0"), "products", "StockCode")
+    return fact.missing_keys(fact.lookup_keys(w.lines, w.date.where("Month <> 7"), people, goods, w.location))
+
+
+@query
+def incr_new_lines(spark, sf_dir):
+    """Lines by month that a history up to 1998 does not hold, against that history bucketed by line."""
+    lines = open_warehouse(spark, sf_dir).lines
+    keyed = fact.with_line_key(lines, config.REQUIRED_COLUMNS)
+    held = _bucketed(keyed.where("InvoiceDate < '1998-01-01'").select("LineKey"), "held", "LineKey")
+    fresh = fact.new_lines(keyed, held)
+    return plain(fresh.groupBy(F.year("InvoiceDate").alias("sale_year"), F.month("InvoiceDate").alias("sale_month")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("Quantity").cast("bigint").alias("pieces"),
+        F.sum("TotalRevenue").cast("decimal(38,2)").alias("revenue")))
+
+
 @query
 def fact_validation(spark, sf_dir):
     return cleanse.fact_validation(open_warehouse(spark, sf_dir).fact, 40, 950)
