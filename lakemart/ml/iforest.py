@@ -107,7 +107,8 @@ def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, ro
     """Add the anomaly score in [-1, 0): lower is more anomalous.
 
     The forest is at most trees * 511 nodes, so it goes to the executors as a
-    broadcast variable.
+    broadcast variable. A forest over one column is a step function of it: its scores between
+    neighbouring splits are worked out once, and a row looks its own up.
     """
     table = nodes.orderBy("tree", "node").toPandas()
     forest = [
@@ -115,24 +116,37 @@ def with_score(df: DataFrame, nodes: DataFrame, columns: list[str], out: str, ro
          g["length"].to_numpy())
         for _, g in table.groupby("tree")
     ]
-    shared = df.sparkSession.sparkContext.broadcast(forest)
     norm = mean_path(rows_seen) or 1.0
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        trees = shared.value
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            rows, total = np.arange(len(x)), np.zeros(len(x))
-            for feature, split, left, right, length in trees:
-                at = np.zeros(len(x), dtype=int)
-                while True:
-                    inner = feature[at] >= 0
-                    if not inner.any():
-                        break
-                    below = x[rows, np.maximum(feature[at], 0)] < split[at]
-                    at = np.where(inner, np.where(below, left[at], right[at]), at)
-                total += length[at]
-            yield pd.Series(-np.power(2.0, -(total / len(trees)) / norm))
+    def scores(trees: list[tuple], x: np.ndarray) -> np.ndarray:
+        rows, total = np.arange(len(x)), np.zeros(len(x))
+        for feature, split, left, right, length in trees:
+            at = np.zeros(len(x), dtype=int)
+            while True:
+                inner = feature[at] >= 0
+                if not inner.any():
+                    break
+                below = x[rows, np.maximum(feature[at], 0)] < split[at]
+                at = np.where(inner, np.where(below, left[at], right[at]), at)
+            total += length[at]
+        return -np.power(2.0, -(total / len(trees)) / norm)
+
+    if len(columns) == 1 and forest:
+        # between two neighbouring splits all values take the same path in every tree; no number walks like the largest
+        splits = np.unique(table.loc[table["feature"] >= 0, "split"].to_numpy())
+        steps = scores(forest, np.concatenate([[-np.inf], splits])[:, None])
+        held = df.sparkSession.sparkContext.broadcast((splits, steps))
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            at, known = held.value
+            for batch in batches:
+                yield pd.Series(known[np.searchsorted(at, batch.iloc[:, 0].to_numpy(dtype=float), side="right")])
+    else:
+        shared = df.sparkSession.sparkContext.broadcast(forest)
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series(scores(shared.value, batch.to_numpy(dtype=float)))
 
     udf = F.pandas_udf(_typed(score), T.DoubleType())
     return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])))
