@@ -109,3 +109,17 @@ def test_merged_sketches_against_all_values(spark):
         assert abs(got[name]["unique_estimate"] - uniques) <= sketches.UNIQUE_ERROR * uniques
     assert got["none"]["null_count"] == 60_000 and got["none"]["median_estimate"] is None and got["none"]["mean_value"] is None
     assert sketches.merge(sketches.month_sketches(lines.limit(0), ("q",))).count() == 0
+
+
+def test_sketches_read_a_line_as_one_row(spark):
+    """Groups by month and column would pass the number up to which sketches fold without a sort of all rows."""
+    from lakemart.operators import sketches
+
+    day = F.expr("timestamp_ntz'2001-01-01' + make_interval(0, cast(id % 50 as int))")
+    lines = spark.range(2_000).select(day.alias("InvoiceDate"), *[(F.col("id") % n).alias(f"c{n}") for n in (2, 3, 5, 7)])
+    months = sketches.month_sketches(lines, ("c2", "c3", "c5", "c7"))
+    plan = months._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan[plan.index("Aggregate"):]
+    got = {(r["SaleYear"], r["SaleMonth"], r["column_name"]): r for r in months.collect()}
+    assert len(got) == 50 * 4
+    assert {(r["records"], r["least"], r["most"]) for k, r in got.items() if k[2] == "c7"} == {(40, 0, 6)}
