@@ -53,3 +53,18 @@ def test_entry_runs(spark):
     assert contract.entry(spark).columns == [
         "Year", "Month", "MonthName", "MonthlyRevenue", "NumOrders", "TotalQuantity", "NumCustomers",
     ]
+
+
+def test_enrichment_batches_are_bounded_by_bytes(spark, sf_dir, database, monkeypatch):
+    """A batch of two files reads the whole dimensions for a number of lines that does not grow with them."""
+    from lakemart.streaming import jobs
+
+    files, read = [], jobs.read_stream
+
+    def opened(spark, path, schema, files_per_batch=None, **options):
+        files.append(files_per_batch)
+        return read(spark, path, schema, files_per_batch, **options)
+
+    monkeypatch.setattr(jobs, "read_stream", opened)
+    test_query_matches_sql(spark, sf_dir, database, "st_enrich")
+    assert files == [None]
