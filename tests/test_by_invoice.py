@@ -50,3 +50,13 @@ def test_an_invoice_with_several_customers(spark, edge_lines, tmp_path):
     assert sorted(map(str, got.select(*pick).collect())) == sorted(map(str, plain.select(*pick).collect()))
     assert got.select("SalesKey").distinct().count() == w.lines.count()
     assert w.unscored.count() == w.lines.count()
+
+
+def test_assembled_fact_is_the_written_one(spark, sf_dir, tmp_path):
+    w = new_warehouse(spark, sf_dir, f"file://{tmp_path}")
+    assembled = w.assemble_fact()
+    assert "Join" not in executed(assembled) and "InvoiceKey" not in assembled.columns
+    whole = fact.fact_sales(w.lines.drop("InvoiceKey"), w.date, w.customer, w.product, w.location, "ETL_RUN",
+                            F.lit("2001-09-01 00:00:00").cast("timestamp_ntz"), F.lit(w.score))
+    assert assembled.columns == whole.columns
+    assert sorted(map(str, assembled.collect())) == sorted(map(str, whole.collect()))
