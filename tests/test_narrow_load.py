@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators import cleanse, fact
+from lakemart.operators import cleanse, dims, fact
 from lakemart.plans.warehouse import new_warehouse
 from lakemart.sinks import tables
 from lakemart.sources import retail
@@ -48,7 +48,16 @@ def test_lines_from_raw_lines_without_counted_ones(spark, sf_dir, tmp_path):
     lines = w.lines
     assert "counted" not in w._tables
     other = new_warehouse(spark, sf_dir, f"file://{tmp_path}/b")
-    assert rows(lines.drop("InvoiceKey")) == rows(other.lines.drop("InvoiceKey"))     # through the counted lines
+    other.write("counted")
+    assert rows(lines.drop("InvoiceKey")) == rows(other.lines.drop("InvoiceKey"))
+    straight = cleanse.clean_from(cleanse.counted_lines(cleanse.typed_lines(retail.retail_lines(spark, sf_dir, w.dealt))))
+    plan = cleanse.with_invoice_in_place(straight, w.dealt)
+    assert rows(plan.drop("InvoiceKey")) == rows(lines.drop("InvoiceKey"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")              # else exchanges are shared while the query runs
+    try:
+        assert executed(plan.select("*")).count("ReusedExchange") >= 2     # lines and invoices travel once for both folds
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
     plain = cleanse.with_invoice(cleanse.clean_from(w.counted))
     assert rows(lines.drop("InvoiceKey")) == rows(plain.select(*lines.drop("InvoiceKey").columns))
     pairs = lines.select("InvoiceNo", "InvoiceKey").distinct()
@@ -70,3 +79,10 @@ def test_keys_and_values_are_written(spark, sf_dir, tmp_path, not_broadcast):
     assert "Exchange" not in executed(found)                           # the buyers lie by invoice; one before
     moved = optimized(fact.rows_by_month(found, w.date, w.customer, w.product, w.location)).split("RebalancePartitions")[1]
     assert "TotalRevenue" not in moved.splitlines()[1] and "SalesKey" not in moved
+
+
+def test_orders_of_a_product_are_told_apart_where_they_lie(spark, sf_dir, tmp_path, not_broadcast):
+    w = new_warehouse(spark, sf_dir, f"file://{tmp_path}")
+    pairs = lambda key: w.lines.select("StockCode", key).distinct()
+    assert "Exchange" not in executed(pairs("InvoiceNo")) and "Exchange" in executed(pairs("InvoiceKey"))
+    assert rows(dims.product_metrics(w.lines, "InvoiceNo")) == rows(dims.product_metrics(w.lines))
