@@ -106,3 +106,19 @@ def test_lines_without_an_invoice_have_a_buyer(spark, tmp_path):
     got = fact.with_buyer(lines, people, "shuffle_hash", 4).select(F.col("SalesKey") % 16, "CustomerKey", "SalesKey").collect()
     assert sorted((r[0], r[1]) for r in got) == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 0), (7, 2)]     # four before
     assert len({r[2] for r in got}) == 7
+
+
+def test_days_and_months_from_one_order(spark, not_broadcast):
+    rng = random.Random(3)
+    data = [(2000, m, m * 100 + rng.randint(1, 3), rng.randint(0, 2), 1, rng.randint(1, 900), rng.randint(1, 5),
+             rng.choice([None, *range(6)]), rng.choice([None, *range(5)])) for m in (1, 2) for _ in range(150)]
+    sales = spark.createDataFrame(data, "SaleYear int, SaleMonth int, DateKey long, CustomerKey long, LocationKey long, r int, "
+                                  "Quantity int, InvoiceKey long, ProductKey long").withColumn("TotalRevenue", F.col("r").cast("decimal(12,2)"))
+    days = aggregates.daily_base(sales, firsts=True)
+    assert executed(days).count("Exchange") == 1 and executed(days).count("Window ") == 2     # two exchanges and four windows before
+    assert rows(days.select(*aggregates.DAILY)) == rows(aggregates.daily_base(sales).select(*aggregates.DAILY))
+    months, plain = aggregates.monthly_base(days), aggregates.monthly_base(sales)
+    assert rows(months.select(*plain.columns)) == rows(plain)
+    exact = sales.groupBy("SaleYear", "SaleMonth", "CustomerKey", "LocationKey").agg(
+        F.countDistinct("InvoiceKey").alias("OrderCount"), F.countDistinct("ProductKey").alias("UniqueProducts"))
+    assert rows(months.select(*exact.columns)) == rows(exact)
