@@ -122,3 +122,21 @@ def test_days_and_months_from_one_order(spark, not_broadcast):
     exact = sales.groupBy("SaleYear", "SaleMonth", "CustomerKey", "LocationKey").agg(
         F.countDistinct("InvoiceKey").alias("OrderCount"), F.countDistinct("ProductKey").alias("UniqueProducts"))
     assert rows(months.select(*exact.columns)) == rows(exact)
+
+
+def test_sketches_fold_measures_made_once(spark):
+    data = [("2011-01-05", 3, "2.50", "ab"), ("2011-01-06", None, None, None), ("2011-02-01", -4, "0.00", ""), (None, 2147483647, "99999999.99", "x")]
+    lines = spark.createDataFrame(data * 3, "d string, q int, p string, t string").select(
+        F.col("d").cast("timestamp_ntz").alias("InvoiceDate"), "q", F.col("p").cast("decimal(10,2)").alias("p"), "t")
+    months = sketches.month_sketches(lines, ("q", "p", "t"))
+    fold = months._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[1].split("Project [")[0]
+    assert "cast(p#" not in fold and "length(t#" not in fold and "cast(q#" not in fold        # made anew for every figure before
+    length = {"q": F.col("q"), "p": F.col("p"), "t": F.length("t")}
+    for c, v in length.items():
+        exact = lines.groupBy(F.year("InvoiceDate").alias("y"), F.month("InvoiceDate").alias("m")).agg(
+            F.count(F.lit(1)), F.count_if(v.isNull()), F.count_if(v == 0), F.count_if(v < 0), F.min(v.cast("decimal(18,2)")),
+            F.max(v.cast("decimal(18,2)")), F.sum(v.cast("decimal(18,2)")).cast("decimal(38,2)"))
+        got = months.where(F.col("column_name") == c).select(
+            "SaleYear", "SaleMonth", "records", "null_count", "zero_count", "negative_count", "least", "most", "total")
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, exact.collect())))
+        assert [f.dataType.simpleString() for f in got.schema.fields[6:]] == ["decimal(18,2)", "decimal(18,2)", "decimal(38,2)"]
