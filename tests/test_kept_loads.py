@@ -140,3 +140,29 @@ def test_sketches_fold_measures_made_once(spark):
             "SaleYear", "SaleMonth", "records", "null_count", "zero_count", "negative_count", "least", "most", "total")
         assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, exact.collect())))
         assert [f.dataType.simpleString() for f in got.schema.fields[6:]] == ["decimal(18,2)", "decimal(18,2)", "decimal(38,2)"]
+
+
+def test_lineage_writes_lines_once_and_leaves_them_by_invoice(spark, order_tables, tmp_path, not_broadcast, monkeypatch):
+    monkeypatch.setattr(warehouse, "_OPEN", {})
+    written = []
+
+    def recorded(write):
+        def run(df, path, *args, **more):
+            written.append(path)
+            return write(df, path, *args, **more)
+        return run
+
+    for place in (lineage, warehouse):
+        monkeypatch.setattr(place, "write_table", recorded(tables.write_table))
+        monkeypatch.setattr(place, "write_bucketed", recorded(tables.write_bucketed))
+    counts = [(r["SourceRecordCount"], r["TargetRecordCount"]) for r in contract.queries()["lineage_log"](spark, order_tables).collect()]
+    assert [p.rsplit("/", 1)[1] for p in written].count("lines") == 1                       # two before
+    at = next(p for p in written if p.endswith("/lines"))
+    lines = spark.read.parquet(at)
+    assert counts[0][1] == counts[1][0] == lines.count() and counts[1][1] == spark.read.parquet(at[:-5] + "fact").count()
+    w = new_warehouse(spark, order_tables, f"file://{tmp_path}/w")
+    assert rows(lines.select(*w.lines.drop("InvoiceKey").columns)) == rows(w.lines.drop("InvoiceKey"))
+    keyed = fact.lookup_keys(w.lines.drop("InvoiceKey"), w.date, w.customer, w.product, w.location)
+    assert rows(spark.read.parquet(at[:-5] + "fact").select(*keyed.columns)) == rows(keyed)
+    # written once more by its own lines, the log counts the same
+    assert w.members_of(lines, "nowhere") is w
